@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from viewtide.operators.ordered import with_running_totals
 from viewtide.operators.spread import Splits, find_splits, spread
-from viewtide.schemas import HISTORY_COLUMNS
+from viewtide.schemas import FACTS, HISTORY_COLUMNS
+
+_CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,3 +73,65 @@ def _correction() -> Column:
 
 def _is(event_type: str) -> Column:
     return F.when(F.col("event_type") == event_type, F.lit(1)).otherwise(F.lit(0))
+
+
+# Inputs as CSV lines, for the load: text video ids, numeric categories and quoted
+# integers. `meta` and `history` above hold the same videos and totals.
+
+
+def video_id(gid: Column) -> Column:
+    return F.concat(F.lit("YT:"), F.lpad(gid.cast("string"), 11, "0"))
+
+
+def csv_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the meta file; some videos have no duration."""
+    rows = meta(spark, sf_dir)
+    duration = F.when(F.col("gid") % 13 == 0, F.lit("")).otherwise(F.col("duration").cast("string"))
+    return rows.select(
+        F.concat_ws(
+            ",",
+            video_id(F.col("gid")),
+            F.concat(F.lit("UC"), F.col("user_id").cast("string")),
+            (10 + 10 * (F.col("gid") % 2)).cast("string"),
+            F.date_format("created_at", _CSV_TIME),
+            duration,
+        ).alias("line")
+    )
+
+
+def csv_history(spark: SparkSession, sf_dir: str, splits: Splits | None = None) -> DataFrame:
+    """Lines of the history file: quoted integers, `""` for a missing one."""
+    rows = history(spark, sf_dir, splits)
+    return rows.select(F.concat_ws(",", *csv_history_fields()).alias("line"))
+
+
+def csv_history_fields() -> list[Column]:
+    return [
+        _quoted(video_id(F.col("gid"))),
+        *[_quoted(F.coalesce(F.col(fact).cast("string"), F.lit(""))) for fact in FACTS],
+        F.date_format("updated_at", _CSV_TIME),
+    ]
+
+
+def csv_history_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which every fifth is faulty, each kind of fault in turn."""
+    gid, *_, updated_at = csv_history_fields()
+    ten, none = F.lit('"10"'), F.lit('""')
+    faults = [
+        (gid, ten, F.lit("x"), none, ten, updated_at),
+        (gid, ten, ten, ten),
+        (gid, ten, ten, ten, ten, F.lit("notadate")),
+        (gid, F.lit('"1,2"'), ten, ten, ten, updated_at),
+        (F.lit(""), ten, ten, ten, ten, updated_at),
+        (gid, ten, ten, ten, ten, F.lit("")),
+        (F.lit('"YT:much-too-long"'), ten, ten, ten, ten, updated_at),
+        (gid, ten, ten, ten, ten, updated_at, ten),
+    ]
+    line = F.concat_ws(",", gid, ten, none, F.lit("2"), none, updated_at)
+    for kind, fields in enumerate(faults):
+        line = F.when(F.col("event_id") % 40 == 5 * kind, F.concat_ws(",", *fields)).otherwise(line)
+    return observations(spark, sf_dir).select(line.alias("line"))
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))

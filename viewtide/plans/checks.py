@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions.expressions import day_of
+from viewtide.operators.spread import spread_keys
 from viewtide.operators.transform import changed_only, with_diffs
-from viewtide.schemas import HISTORY_COLUMNS
+from viewtide.schemas import FACTS, HISTORY_COLUMNS, VIDEO
 
 
 def _first(df: DataFrame, limit: int | None, *order) -> DataFrame:
@@ -83,4 +84,5 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def changed_row_count(df: DataFrame, mode: str = "increase") -> DataFrame:
     """How many rows the change filter would keep of a denormalized table."""
-    return row_count(changed_only(with_diffs(df), mode))
+    totals = df.select(*spread_keys(df, *VIDEO), *FACTS, "updated_at")
+    return row_count(changed_only(with_diffs(totals), mode))

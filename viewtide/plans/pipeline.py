@@ -13,7 +13,7 @@ from viewtide.operators.spread import CHUNK, find_splits
 from viewtide.operators.transform import daily_from_steps, denorm, latest, with_steps
 from viewtide.plans import reports
 from viewtide.schemas import VIDEO
-from viewtide.sources.csv import REASON, check_rejects, good_and_rejects, parse
+from viewtide.sources.csv import REJECTED, check_rejects, good_rows, parse, rejects
 from viewtide.sources.stages import REJECTS, REPORTS, read_stage, stage_path, write_report, write_stage
 
 log = logging.getLogger(__name__)
@@ -73,12 +73,12 @@ def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int
     input is read a second time only if there are any."""
     parsed = parse(spark, path, table)
     seen = Observation()
-    good, _ = good_and_rejects(parsed.observe(seen, F.count(REASON).alias("rejected")))
-    write_stage(good, out, table)
-    _, rejects = good_and_rejects(parsed)
+    counted = parsed.observe(seen, F.count_if(REJECTED).alias("rejected"))
+    write_stage(good_rows(counted, table), out, table)
+    bad = rejects(parsed, table)
     if seen.get["rejected"] == 0:
-        rejects = spark.createDataFrame([], rejects.schema)
-    write_stage(rejects, stage_path(out, REJECTS), table)
+        bad = spark.createDataFrame([], bad.schema)
+    write_stage(bad, stage_path(out, REJECTS), table)
     check_rejects(read_stage(spark, stage_path(out, REJECTS), table), max_rejects)
 
 

@@ -1,16 +1,20 @@
 """The two headerless CSV inputs, split into good rows and rejects."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from viewtide.schemas import CONSTRAINTS, HISTORY, MAX_BYTES, META
 
-REASON = "reason"
 LINE = "line"
+REASON = "reason"
+REJECTED = "_rejected"
 
+_SCHEMAS = {"meta": META, "history": HISTORY}
 _CORRUPT = "_corrupt"
-_MISFIT = "_misfit"
 
 
 class TooManyRejects(Exception):
@@ -19,33 +23,44 @@ class TooManyRejects(Exception):
 
 def read_meta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Videos: (good rows, rejects)."""
-    return good_and_rejects(parse(spark, path, "meta"))
+    return read_csv(spark, path, "meta")
 
 
 def read_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Observations: (good rows, rejects). Integers may be quoted, and `""` is missing."""
-    return good_and_rejects(parse(spark, path, "history"))
+    return read_csv(spark, path, "history")
+
+
+def read_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    parsed = parse(spark, path, table)
+    return good_rows(parsed, table), rejects(parsed, table)
 
 
 def parse(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Every input line: typed columns, its text if it was rejected, and the reason."""
-    schema = {"meta": META, "history": HISTORY}[table]
-    rows = (
-        spark.read.schema(StructType([*schema.fields, StructField(_CORRUPT, StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(path)
+    """Every line as text, with its typed columns and whether it is rejected.
+
+    The lines are read as text, so that a reject keeps its line as it was. `inline` makes
+    Spark parse each line once, however many columns are used afterwards.
+    """
+    schema = _SCHEMAS[table]
+    columns = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    parsed = F.from_csv(LINE, _ddl(columns), {"columnNameOfCorruptRecord": _CORRUPT})
+    lines = spark.read.text(path).toDF(LINE).filter(F.trim(LINE) != "")
+    broken = [F.col(_CORRUPT).isNotNull(), *(condition for condition, _ in _violations(table))]
+    return lines.select(LINE, F.inline(F.array(parsed))).withColumn(
+        REJECTED, F.coalesce(reduce(or_, broken), F.lit(False))
     )
-    reason = _reason(schema, CONSTRAINTS[table].not_null)
-    # A line that breaks a constraint only is not kept by the reader; it is rendered again.
-    text = F.coalesce(_CORRUPT, F.to_csv(F.struct(*schema.names)))
-    return rows.select(*schema.names, reason.alias(REASON), F.when(reason.isNotNull(), text).alias(LINE))
 
 
-def good_and_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good = parsed.filter(F.col(REASON).isNull()).drop(REASON, LINE)
-    rejects = parsed.filter(F.col(REASON).isNotNull()).select(LINE, REASON)
-    return good, rejects
+def good_rows(parsed: DataFrame, table: str) -> DataFrame:
+    return parsed.filter(~F.col(REJECTED)).select(*_SCHEMAS[table].names)
+
+
+def rejects(parsed: DataFrame, table: str) -> DataFrame:
+    """The rejected lines and the first reason found for each."""
+    violated = F.coalesce(*[F.when(condition, F.lit(text)) for condition, text in _violations(table)])
+    reason = F.when(F.col(_CORRUPT).isNull(), violated).otherwise(_parse_failure(_SCHEMAS[table]))
+    return parsed.filter(REJECTED).select(LINE, reason.alias(REASON))
 
 
 def check_rejects(rejects: DataFrame, max_rejects: int = 0) -> None:
@@ -56,13 +71,29 @@ def check_rejects(rejects: DataFrame, max_rejects: int = 0) -> None:
         raise TooManyRejects(f"{count} lines rejected, {max_rejects} allowed; first: {first[REASON]}: {first[LINE]}")
 
 
-def _reason(schema: StructType, not_null: tuple[str, ...]) -> Column:
-    """Why the line cannot be loaded; NULL for a good one."""
-    texts = StructType([StructField(n, StringType()) for n in [*schema.names, _MISFIT]])
-    fields = F.from_csv(F.col(_CORRUPT), texts.simpleString()[7:-1].replace(":", " "), {
-        "columnNameOfCorruptRecord": _MISFIT,
-    })
-    failed = [
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _violations(table: str) -> list[tuple[Column, str]]:
+    """Conditions under which a parsed line breaks the table's constraints."""
+    missing = [
+        (F.col(c).isNull() | (F.col(c).cast("string") == ""), f"{c}: missing")
+        for c in CONSTRAINTS[table].not_null
+    ]
+    too_long = [
+        (F.octet_length(c) > MAX_BYTES[c], f"{c}: longer than {MAX_BYTES[c]} bytes")
+        for c in _SCHEMAS[table].names
+        if c in MAX_BYTES
+    ]
+    return missing + too_long
+
+
+def _parse_failure(schema: StructType) -> Column:
+    """Why the reader could not make sense of a line, from its fields read as text."""
+    texts = StructType([StructField(c, StringType()) for c in [*schema.names, _CORRUPT]])
+    fields = F.from_csv(LINE, _ddl(texts), {"columnNameOfCorruptRecord": _CORRUPT})
+    mistyped = [
         F.when(
             (fields[f.name] != "") & fields[f.name].try_cast(f.dataType).isNull(),
             F.lit(f"{f.name}: not a {f.dataType.simpleString()}"),
@@ -70,14 +101,6 @@ def _reason(schema: StructType, not_null: tuple[str, ...]) -> Column:
         for f in schema.fields
         if not isinstance(f.dataType, StringType)
     ]
-    unparsed = F.when(fields[_MISFIT].isNotNull(), F.lit("wrong number of fields")).otherwise(
-        F.coalesce(*failed, F.lit("malformed line"))
+    return F.when(fields[_CORRUPT].isNotNull(), F.lit("wrong number of fields")).otherwise(
+        F.coalesce(*mistyped, F.lit("malformed line"))
     )
-    broken = [
-        F.when(F.col(n).isNull() | (F.col(n).cast("string") == ""), F.lit(f"{n}: missing")) for n in not_null
-    ] + [
-        F.when(F.octet_length(n) > MAX_BYTES[n], F.lit(f"{n}: longer than {MAX_BYTES[n]} bytes"))
-        for n in schema.names
-        if n in MAX_BYTES
-    ]
-    return F.when(F.col(_CORRUPT).isNotNull(), unparsed).otherwise(F.coalesce(*broken))

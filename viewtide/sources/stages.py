@@ -3,6 +3,7 @@
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 REPORTS = "reports"
 REJECTS = "rejects"
@@ -38,5 +39,5 @@ def write_report(df: DataFrame, directory: str, name: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(stage_path(directory, name))
 
 
-def read_report(spark: SparkSession, directory: str, name: str, schema: str) -> DataFrame:
+def read_report(spark: SparkSession, directory: str, name: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(stage_path(directory, name))
