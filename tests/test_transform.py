@@ -1,0 +1,144 @@
+"""The transforms' meaning, case by case, on literal rows."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from viewtide.operators import transform
+from viewtide.schemas import DAILY_COLUMNS, DENORM_COLUMNS, FACTS, JOINED_COLUMNS, LATEST_COLUMNS
+
+HISTORY = "gid string, views bigint, likes bigint, dislikes bigint, comments bigint, updated_at timestamp"
+META = "gid string, user_id string, category_id bigint, created_at timestamp, duration bigint"
+
+
+def at(day, hour=0):
+    return datetime(2024, 1, day, hour)
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    def build(*observations, mode="increase", zone=None):
+        """Stages of observations (gid, views[, comments], time); other facts stay 0."""
+        rows = []
+        for gid, views, *comments, when in observations:
+            rows.append((gid, views, 0, 0, comments[0] if comments else 0, when))
+        history = spark.createDataFrame(rows, HISTORY)
+        gids = sorted({o[0] for o in observations})
+        meta = spark.createDataFrame([(g, "u", 10, at(1), 60) for g in gids], META)
+        kept = transform.denorm(meta, history, mode=mode)
+        return kept.orderBy("gid", "updated_at"), transform.latest(kept), transform.daily(kept)
+
+    return build
+
+
+def daily_views(daily):
+    return [(r.day_updated_at.day, r.views) for r in daily.orderBy("gid", "day_updated_at").collect()]
+
+
+def test_columns(stages):
+    kept, latest, daily = stages(("a", 1, at(1)))
+    assert tuple(kept.columns) == DENORM_COLUMNS
+    assert tuple(latest.columns) == LATEST_COLUMNS
+    assert tuple(daily.columns) == DAILY_COLUMNS
+
+
+def test_join_keeps_known_videos_and_cuts_the_day(spark):
+    history = spark.createDataFrame([("a", 1, 1, 1, 1, at(2, 23)), ("b", 1, 1, 1, 1, at(2))], HISTORY)
+    meta = spark.createDataFrame([("a", "u", 10, at(1), 60), ("c", "u", 10, at(1), 60)], META)
+    joined = transform.denormalize(meta, history)
+    assert tuple(joined.columns) == JOINED_COLUMNS
+    assert joined.collect() == [("a", 1, 1, 1, 1, at(2, 23), "u", 10, at(1), 60, date(2024, 1, 2))]
+
+
+def test_rows_that_only_fell_are_dropped(stages):
+    observations = [("a", 10, at(1, 1)), ("a", 7, at(1, 2)), ("a", 7, at(1, 3)), ("a", 9, at(1, 4))]
+    kept, _, _ = stages(*observations)
+    assert [r.views for r in kept.collect()] == [10, 9]
+    kept, _, _ = stages(*observations, mode="any")
+    assert [r.views for r in kept.collect()] == [10, 7, 9]
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError):
+        transform.changed_only(spark.range(1), mode="other")
+
+
+def test_latest_misses_a_final_fall_and_videos_that_never_grew(stages):
+    _, latest, _ = stages(("a", 10, at(1)), ("a", 7, at(2)), ("b", 0, at(1)), ("b", 0, at(2)))
+    assert [(r.gid, r.views, r.updated_at) for r in latest.collect()] == [("a", 10, at(1))]
+
+
+def test_latest_has_the_first_kept_day_but_the_last_time(stages):
+    _, latest, _ = stages(("a", 0, at(1)), ("a", 5, at(2)), ("a", 6, at(4, 5)))
+    row = latest.first()
+    assert (row.day_updated_at, row.updated_at, row.views) == (date(2024, 1, 2), at(4, 5), 6)
+
+
+def test_latest_keeps_a_missing_last_value(stages):
+    _, latest, _ = stages(("a", 1, 3, at(1)), ("a", 2, None, at(2)))
+    assert latest.first().comments is None
+
+
+def test_daily_starts_from_the_previous_kept_row(stages):
+    # The fall to 4 is dropped: the row after it grew by 8 on it, but by 2 on the kept 10.
+    observations = [("a", 10, at(1)), ("a", 4, at(2)), ("a", 12, at(3))]
+    kept, _, daily = stages(*observations)
+    assert [r.views_diff for r in kept.collect()] == [10, 8]
+    assert daily_views(daily) == [(1, 10), (3, 2)]
+
+
+def test_missing_facts(stages):
+    # Unknown now: no change. Unknown before: the whole total counts again.
+    kept, _, daily = stages(("a", 5, 1, at(1)), ("a", 6, None, at(2)), ("a", 6, None, at(3)), ("a", 6, 4, at(4)))
+    rows = kept.collect()
+    assert [(r.updated_at.day, r.views_diff, r.comments_diff) for r in rows] == [(1, 5, 1), (2, 1, None), (4, 0, 4)]
+    assert [r.comments for r in daily.orderBy("day_updated_at").collect()] == [1, None, 4]
+
+
+def test_first_observation_counts_whole_and_later_ones_on_their_own_day(stages):
+    kept, _, daily = stages(("a", 100, at(1, 23)), ("a", 110, at(2, 1)), ("a", 115, at(2, 9)))
+    assert [(r.hour, r.views_diff) for r in kept.collect()] == [(23, 100), (1, 10), (9, 5)]
+    assert daily_views(daily) == [(1, 100), (2, 15)]
+
+
+def test_quiet_days_are_absent(stages):
+    _, _, daily = stages(("a", 1, at(1)), ("a", 1, at(2)), ("a", 3, at(3)))
+    assert daily_views(daily) == [(1, 1), (3, 2)]
+
+
+def test_videos_do_not_mix(stages):
+    kept, latest, _ = stages(("a", 5, at(1)), ("b", 3, at(2)), ("a", 6, at(3)))
+    assert [(r.gid, r.views_diff) for r in kept.collect()] == [("a", 5), ("a", 1), ("b", 3)]
+    assert latest.count() == 2
+
+
+def test_days_follow_the_session_zone(spark, stages):
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Prague")
+        history = spark.sql("select 'a' gid, 1L views, 0L likes, 0L dislikes, 0L comments, "
+                            "timestamp '2024-01-01 23:30:00 UTC' updated_at")
+        meta = spark.createDataFrame([("a", "u", 10, None, 60)], META)
+        row = transform.denorm(meta, history).first()
+        assert (row.day_updated_at, row.hour) == (date(2024, 1, 2), 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_naive_timestamps_work_alike(spark):
+    history = spark.createDataFrame([("a", 1, 0, 0, 0, at(1, 5))], HISTORY.replace("timestamp", "timestamp_ntz"))
+    meta = spark.createDataFrame([("a", "u", 10, at(1), 60)], META)
+    row = transform.denorm(meta, history).first()
+    assert (row.day_updated_at, row.hour, row.views_diff) == (date(2024, 1, 1), 5, 1)
+
+
+def test_daily_increments_add_up_to_the_latest_totals(stages):
+    views = [3, 9, 9, 2, 11, 11, 40]
+    _, latest, daily = stages(*[("a", v, at(1) + timedelta(hours=13 * i)) for i, v in enumerate(views)])
+    assert sum(v for _, v in daily_views(daily)) == latest.first().views == 40
+
+
+def test_steps_need_the_kept_rows_only(spark, stages):
+    kept, _, daily = stages(("a", 10, at(1)), ("a", 4, at(2)), ("a", 12, at(3)))
+    stepped = transform.with_steps(kept)
+    assert stepped.columns == [*kept.columns, *[f"{f}_step" for f in FACTS]]
+    assert transform.daily_from_steps(stepped).exceptAll(daily).isEmpty()

@@ -1,6 +1,6 @@
 """Key and NOT NULL violations."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from viewtide.schemas import CONSTRAINTS
@@ -21,12 +21,25 @@ def null_counts(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return counts.unpivot([], list(columns), "column_name", "null_rows")
 
 
-def assert_clean(df: DataFrame, table: str) -> None:
-    """Raise at the first violation of the table's constraints."""
+def assert_clean(df: DataFrame, table: str, key: bool = True) -> None:
+    """Raise if the table breaks its constraints; one pass over it checks them all.
+
+    `key=False` leaves out the primary key, for tables whose key follows from other checks.
+    """
     constraints = CONSTRAINTS[table]
-    missing = null_counts(df, constraints.not_null).filter("null_rows > 0").first()
-    if missing is not None:
-        raise ConstraintViolation(f"{table}: {missing.null_rows} rows without {missing.column_name}")
-    duplicate = duplicates(df, constraints.key).first()
-    if duplicate is not None:
-        raise ConstraintViolation(f"{table}: duplicate key {duplicate.asDict()}")
+    missing = [F.count_if(F.col(c).isNull()).alias(c) for c in constraints.not_null]
+    if not key:
+        _raise_missing(table, df.agg(*missing).first().asDict())
+        return
+    seen = Observation()
+    repeated = duplicates(df.observe(seen, *missing), constraints.key)
+    found = repeated.agg(F.count("*").alias("keys"), F.first(F.struct(*constraints.key)).alias("first")).first()
+    _raise_missing(table, seen.get)
+    if found["keys"]:
+        raise ConstraintViolation(f"{table}: {found['keys']} duplicate keys; first: {found['first'].asDict()}")
+
+
+def _raise_missing(table: str, counts: dict[str, int]) -> None:
+    violated = sorted(column for column, rows in counts.items() if rows)
+    if violated:
+        raise ConstraintViolation(f"{table}: NULL in {', '.join(violated)}")

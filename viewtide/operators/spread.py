@@ -47,7 +47,8 @@ def find_splits(
 
     A table smaller than one chunk costs a row count, for Parquet answered from the
     footers. A larger one costs a count per key, reduced before its shuffle. Only where a
-    key is over the limit are its rows read again, one pass per factor of 256.
+    key is over the limit are its rows read again, one pass per factor of 256. How evenly
+    the cuts fall affects the balance of the work, never a result.
     """
     total = df.count()
     limit = max(rows_per_chunk, -(-total // max_chunks))
@@ -59,13 +60,12 @@ def find_splits(
         pieces = _pieces(rows, splits, key)
         # At most total / limit <= max_chunks pieces can hold more than `limit` rows.
         oversized = _local(
-            pieces.groupBy(key, CHUNK)
-            .agg(F.count("*").alias("rows"), F.min(order).alias("low"), F.max(order).alias("high"))
-            .filter((F.col("rows") > limit) & (F.col("low") < F.col("high")))
+            pieces.groupBy(key, CHUNK).agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
         )
-        if oversized.isEmpty():
+        refined = None if oversized.isEmpty() else _refine(pieces, oversized, splits, key, order, limit)
+        if refined is None:
             break
-        splits = _refine(pieces, oversized, splits, key, order, limit)
+        splits = refined
     return splits
 
 
@@ -120,28 +120,38 @@ def _pieces(rows: DataFrame, splits: Splits | None, key: str) -> DataFrame:
 
 def _refine(
     pieces: DataFrame, oversized: DataFrame, splits: Splits | None, key: str, order: str, limit: int
-) -> Splits:
-    """Add cut points inside the oversized pieces, at even shares of their rows."""
+) -> Splits | None:
+    """Add cut points inside the oversized pieces, at even shares of their rows.
+
+    None if no piece can be cut, its rows all having the same place in the order.
+    """
     shares = [i / _FANOUT for i in range(1, _FANOUT)]
     wanted = F.least(F.lit(_FANOUT), F.ceil(2 * F.col("rows") / limit)).cast("int")
     spaced = F.transform(
         F.sequence(F.lit(1), F.col("wanted") - 1),
         lambda i: F.get("quantiles", F.floor(i * _FANOUT / F.col("wanted")).cast("int") - 1),
     )
-    inner = F.filter(F.col("spaced"), lambda cut: cut > F.col("low"))
-    found = (
+    # The highest value is a last resort, for a piece that consists mostly of its lowest.
+    cuts = F.filter(F.col("spaced"), lambda cut: cut > F.col("low"))
+    found = _local(
         pieces.join(F.broadcast(oversized), [key, CHUNK])
-        .groupBy(key, CHUNK, "rows", "low", "high")
-        .agg(F.percentile_approx(order, shares, 10_000).alias("quantiles"))
+        .groupBy(key, CHUNK, "rows")
+        .agg(
+            F.percentile_approx(order, shares, 10_000).alias("quantiles"),
+            F.min(order).alias("low"),
+            F.max(order).alias("high"),
+        )
+        .filter(F.col("low") < F.col("high"))
         .withColumn("wanted", wanted)
         .withColumn("spaced", spaced)
-        .select(key, F.when(F.size(inner) > 0, inner).otherwise(F.array("high")).alias(_CUTS))
+        .select(key, F.when(F.size(cuts) > 0, cuts).otherwise(F.array("high")).alias(_CUTS))
     )
+    if found.isEmpty():
+        return None
     if splits is not None:
         found = found.union(splits.table)
-    table = _local(
-        found.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(_CUTS)))).alias(_CUTS))
-    )
+    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list(_CUTS))))
+    table = _local(found.groupBy(key).agg(merged.alias(_CUTS)))
     longest = table.agg(F.max(F.size(_CUTS))).first()[0]
     return Splits(key, order, table, longest)
 

@@ -12,6 +12,7 @@ from viewtide.operators.spread import Splits, replicate, spread, spread_keys
 from viewtide.schemas import (
     ATTRIBUTES,
     DAILY_COLUMNS,
+    DENORM_COLUMNS,
     FACTS,
     JOINED_COLUMNS,
     LATEST_COLUMNS,
@@ -27,12 +28,19 @@ def denormalize(meta: DataFrame, history: DataFrame, splits: Splits | None = Non
     With `splits`, observations of split videos are joined chunk by chunk and the result
     keeps CHUNK for the steps that follow.
     """
-    observations = spread(history, splits).alias("h")
-    videos = replicate(meta, splits)
+    return with_attributes(spread(history, splits), meta, splits, JOINED_COLUMNS)
+
+
+def with_attributes(
+    observations: DataFrame, meta: DataFrame, splits: Splits | None, columns: tuple[str, ...]
+) -> DataFrame:
+    """The join behind `denormalize`, for observations that are already spread."""
+    keys = spread_keys(observations, "gid")
     return (
-        observations.join(videos.alias("m"), spread_keys(observations, "gid"))
+        observations.alias("h")
+        .join(replicate(meta, splits).alias("m"), keys)
         .select("h.*", *[f"m.{a}" for a in ATTRIBUTES], day_of("h.updated_at").alias("day_updated_at"))
-        .select(*spread_keys(observations, *JOINED_COLUMNS))
+        .select(*spread_keys(observations, *columns))
     )
 
 
@@ -47,11 +55,9 @@ def with_diffs(
     A video's first observation changes by its whole totals.
     """
     frame, previous = with_previous(df, facts, keys, order)
-    return frame.select(
-        *df.columns,
-        hour_of(order).alias("hour"),
-        *[increase(F.col(f), previous[f]).alias(diff(f)) for f in facts],
-    )
+    changes = frame.select(*df.columns, *[increase(F.col(f), previous[f]).alias(diff(f)) for f in facts])
+    # A second step, so that the hour is not shuffled along for the window.
+    return changes.select(*df.columns, hour_of(order).alias("hour"), *map(diff, facts))
 
 
 def changed_only(df: DataFrame, mode: str = "increase", facts: tuple[str, ...] = FACTS) -> DataFrame:
@@ -68,19 +74,41 @@ def changed_only(df: DataFrame, mode: str = "increase", facts: tuple[str, ...] =
     return df.filter(reduce(or_, tests))
 
 
-def with_steps(df: DataFrame, facts: tuple[str, ...] = FACTS) -> DataFrame:
+def with_steps(
+    df: DataFrame,
+    facts: tuple[str, ...] = FACTS,
+    keys: tuple[str, ...] = VIDEO,
+    order: str = "updated_at",
+) -> DataFrame:
     """Add each fact's change since the video's previous *kept* observation.
 
     This differs from the diffs wherever the row before was dropped, and it is what the
     daily increments add up. Taken right after `changed_only` it needs no further shuffle.
     """
-    frame, previous = with_previous(df, facts, VIDEO, "updated_at")
+    frame, previous = with_previous(df, facts, keys, order)
     return frame.select(*df.columns, *[increase(F.col(f), previous[f]).alias(step(f)) for f in facts])
 
 
-def denorm(meta: DataFrame, history: DataFrame, splits: Splits | None = None, mode: str = "increase") -> DataFrame:
-    """The denormalized table of kept observations, with diffs."""
-    return changed_only(with_diffs(denormalize(meta, history, splits)), mode)
+def denorm(
+    meta: DataFrame,
+    history: DataFrame,
+    splits: Splits | None = None,
+    mode: str = "increase",
+    steps: bool = False,
+) -> DataFrame:
+    """The denormalized table of kept observations with diffs and, on request, steps.
+
+    Equal to joining first, but the windows run on the narrow observations and only kept
+    rows are joined. All of it shares one shuffle and one sort of the observations, as a
+    video's rows come out of the windows partitioned and ordered for the join.
+    """
+    by_video = ("gid",)
+    kept = changed_only(with_diffs(spread(history, splits), keys=by_video), mode)
+    columns = DENORM_COLUMNS
+    if steps:
+        kept = with_steps(kept, keys=by_video)
+        columns = (*columns, *map(step, FACTS))
+    return with_attributes(kept, meta, splits, columns)
 
 
 def latest(df: DataFrame) -> DataFrame:

@@ -3,14 +3,16 @@
 import logging
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.operators.constraints import assert_clean
 from viewtide.operators.spread import CHUNK, find_splits
-from viewtide.operators.transform import daily_from_steps, denorm, latest, with_steps
+from viewtide.operators.transform import daily_from_steps, denorm, latest
 from viewtide.plans import reports
 from viewtide.schemas import VIDEO
 from viewtide.sources.csv import REJECTED, check_rejects, good_rows, parse, rejects
@@ -32,42 +34,64 @@ def run(
     max_rejects: int = 0,
     check: bool = True,
 ) -> dict[str, float]:
-    """Run the stages from `from_stage` on, and return how long each step took, in seconds.
+    """Run the stages from `from_stage` on, and return how long each job took, in seconds.
 
     `src` gives the paths of the "meta" and "history" CSV files; it is needed only if the
-    load runs. Each step replaces its output below `out`, so a run can be repeated, and a
-    failing step ends the run.
+    load runs. Jobs replace their output below `out`, so a run can be repeated, and a
+    failing job ends the run.
     """
     seconds: dict[str, float] = {}
+    stages = STAGES[STAGES.index(from_stage or STAGES[0]):]
 
-    def timed(name: str, job: Callable[[], None]) -> None:
+    def phase(name: str, jobs: dict[str, Callable[[], None]]) -> None:
         start = time.perf_counter()
-        job()
+        _together(jobs, seconds)
         seconds[name] = time.perf_counter() - start
         log.info("%s took %.1f s", name, seconds[name])
 
-    def checked(*tables: str) -> None:
-        for table in tables if check else ():
-            timed(f"check_{table}", lambda: assert_clean(read_stage(spark, out, table), table))
+    def checks(name: str, *tables: str) -> None:
+        if check:
+            phase(name, {f"check_{t}": partial(_check, spark, out, t) for t in tables})
 
-    stages = STAGES[STAGES.index(from_stage or STAGES[0]):]
     if "load" in stages:
-        for table in ("meta", "history"):
-            timed(f"load_{table}", lambda: load(spark, src[table], out, table, max_rejects))
-        checked("meta", "history")
+        phase("load", {f"load_{t}": partial(load, spark, src[t], out, t, max_rejects) for t in ("meta", "history")})
+        checks("load_checks", "meta", "history")
     if "denorm" in stages:
-        timed("denorm", lambda: write_denorm(spark, out))
-        checked("denorm")
+        phase("denorm", {"write_denorm": partial(write_denorm, spark, out)})
+        checks("denorm_checks", "denorm")
     if "pre_agg" in stages:
-        timed("latest", lambda: write_latest(spark, out))
-        timed("daily", lambda: write_daily(spark, out))
-        checked("latest", "daily")
+        phase("pre_agg", {
+            "write_latest": partial(write_latest, spark, out),
+            "write_daily": partial(write_daily, spark, out),
+        })
+        checks("pre_agg_checks", "latest", "daily")
     if "report" in stages:
-        for name, report in build_reports(spark, out, as_of).items():
-            timed(f"report_{name}", lambda: write_report(report, stage_path(out, REPORTS), name))
+        directory = stage_path(out, REPORTS)
+        phase("report", {
+            f"report_{name}": partial(write_report, report, directory, name)
+            for name, report in build_reports(spark, out, as_of).items()
+        })
     return seconds
 
 
+def _together(jobs: dict[str, Callable[[], None]], seconds: dict[str, float]) -> None:
+    """Submit independent Spark jobs at once, so that one fills the cores another leaves."""
+
+    def timed(name: str) -> None:
+        start = time.perf_counter()
+        jobs[name]()
+        seconds[name] = time.perf_counter() - start
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(timed, name) for name in jobs]:
+            done.result()
+
+
+def _check(spark: SparkSession, out: str, table: str) -> None:
+    # A kept observation is an observation of one video, so its key follows from theirs.
+    assert_clean(read_stage(spark, out, table), table, key=table != "denorm")
+
+
 def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int = 0) -> None:
     """Load one CSV input. Rejects are counted while the good rows are written, and the
     input is read a second time only if there are any."""
@@ -83,12 +107,12 @@ def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int
 
 
 def write_denorm(spark: SparkSession, out: str) -> None:
-    """The join's shuffle also serves both windows, and the files inherit its layout:
-    rows of a video lie together, sorted by time."""
+    """The files inherit the layout of the windows: rows of a video lie together, sorted
+    by time. The steps are stored so that the daily increments need no window."""
     history = read_stage(spark, out, "history")
     splits = find_splits(history)
-    kept = denorm(read_stage(spark, out, "meta"), history, splits)
-    write_stage(with_steps(kept).drop(CHUNK), out, "denorm")
+    kept = denorm(read_stage(spark, out, "meta"), history, splits, steps=True)
+    write_stage(kept.drop(CHUNK), out, "denorm")
 
 
 def write_latest(spark: SparkSession, out: str) -> None:

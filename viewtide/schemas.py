@@ -7,8 +7,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 FACTS = ("views", "likes", "dislikes", "comments")
 ATTRIBUTES = ("user_id", "category_id", "created_at", "duration")
 
-# A video never changes category, so grouping by both keys equals grouping by gid.
-VIDEO = ("category_id", "gid")
+# A video never changes category, so grouping by both keys equals grouping by gid. The id
+# comes first because sorts on it tell rows apart sooner.
+VIDEO = ("gid", "category_id")
 
 META = StructType([
     StructField("gid", StringType()),
