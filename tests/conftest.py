@@ -12,7 +12,7 @@ from viewtide.session import build_session  # noqa: E402
 def spark():
     session = build_session("tests", {
         "spark.master": "local[8]",
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "6g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -49,7 +49,7 @@ def test_reports(folder, run):
     assert report(folder, "category_totals") == [
         "category_id,total_views,total_likes,total_dislikes,total_comments",
         "20,2000,3,1,0",
-        '10,12,1,"",0' if '""' in report(folder, "category_totals")[2] else "10,12,1,,0",
+        "10,12,1,,0",
     ]
     assert report(folder, "view_bins") == [
         "count_videos,total_views_group,category_id", "1,1000.0,10", "1,10000.0,20",

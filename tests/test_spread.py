@@ -90,6 +90,17 @@ def test_equal_order_values_cannot_be_cut(spark):
     assert spread(crowded, splits).groupBy(CHUNK).count().orderBy(CHUNK).collect() == [(0, 50), (1, 1)]
 
 
+def test_sampled_search_finds_the_frequent_key_only(spark):
+    rows = spark.range(400_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('v', id % 5000)) as gid", "timestamp_seconds(id) as updated_at"
+    )
+    splits = find_splits(rows, rows_per_chunk=20_000)
+    assert [r.gid for r in splits.table.collect()] == ["hot"]
+    sizes = spread(rows, splits).filter("gid = 'hot'").groupBy(CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20_000
+    assert sizes.agg(F.sum("count")).first()[0] == 133_334
+
+
 def test_replicate_meets_every_chunk_once(skewed, meta):
     splits = find_splits(skewed, rows_per_chunk=100)
     copies = replicate(meta, splits).groupBy("gid").count()

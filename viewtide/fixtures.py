@@ -80,12 +80,13 @@ def _is(event_type: str) -> Column:
 
 
 def video_id(gid: Column) -> Column:
-    return F.concat(F.lit("YT:"), F.lpad(gid.cast("string"), 11, "0"))
+    """Digits in reverse, so that ids differ early, as real ones do."""
+    return F.concat(F.lit("YT:"), F.reverse(F.lpad(gid.cast("string"), 11, "0")))
 
 
-def csv_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_meta(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """Lines of the meta file; some videos have no duration."""
-    rows = meta(spark, sf_dir)
+    rows = _copied(meta(spark, sf_dir), copies)
     duration = F.when(F.col("gid") % 13 == 0, F.lit("")).otherwise(F.col("duration").cast("string"))
     return rows.select(
         F.concat_ws(
@@ -99,9 +100,9 @@ def csv_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def csv_history(spark: SparkSession, sf_dir: str, splits: Splits | None = None) -> DataFrame:
+def csv_history(spark: SparkSession, sf_dir: str, splits: Splits | None = None, copies: int = 1) -> DataFrame:
     """Lines of the history file: quoted integers, `""` for a missing one."""
-    rows = history(spark, sf_dir, splits)
+    rows = _copied(history(spark, sf_dir, splits), copies)
     return rows.select(F.concat_ws(",", *csv_history_fields()).alias("line"))
 
 
@@ -133,5 +134,13 @@ def csv_history_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).select(line.alias("line"))
 
 
+def _copied(df: DataFrame, copies: int) -> DataFrame:
+    """Each video this many times, under ids of their own."""
+    if copies == 1:
+        return df
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    return df.withColumn("copy", copy).withColumn("gid", F.col("gid") * copies + F.col("copy")).drop("copy")
+
+
 def _quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), text, F.lit('"'))

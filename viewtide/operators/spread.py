@@ -22,6 +22,7 @@ ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 100_000
 
 _CUTS = "_cuts"
+_SAMPLED = 400
 _FANOUT = 256
 _ROUNDS = 4
 
@@ -46,18 +47,22 @@ def find_splits(
     """Cut points for the keys with too many rows for one task; None if there are none.
 
     A table smaller than one chunk costs a row count, for Parquet answered from the
-    footers. A larger one costs a count per key, reduced before its shuffle. Only where a
-    key is over the limit are its rows read again, one pass per factor of 256. How evenly
-    the cuts fall affects the balance of the work, never a result.
+    footers. For a larger one, a thin sample of the key column names the keys that may be
+    over the limit, so that the many others are never counted. Only if there are any are
+    the rows of those keys read, once or twice per factor of 256. Where the cuts fall
+    affects the balance of the work, never a result.
     """
     total = df.count()
     limit = max(rows_per_chunk, -(-total // max_chunks))
     if total <= limit:
         return None
-    rows = df.select(key, order).filter(F.col(key).isNotNull())
+    candidates = _candidates(df, key, limit)
+    if candidates.isEmpty():
+        return None
+    rows = df.select(key, order).join(F.broadcast(candidates), key, "left_semi")
     splits = None
     for _ in range(_ROUNDS):
-        pieces = _pieces(rows, splits, key)
+        pieces = rows.withColumn(CHUNK, F.lit(WHOLE)) if splits is None else spread(rows, splits)
         # At most total / limit <= max_chunks pieces can hold more than `limit` rows.
         oversized = _local(
             pieces.groupBy(key, CHUNK).agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
@@ -109,13 +114,20 @@ def _chunk_of(splits: Splits) -> Column:
             F.get(F.col(_CUTS), at + step - 1) <= F.col(splits.order), at + step
         ).otherwise(at),
     )
-    return F.when(F.col(_CUTS).isNull(), F.lit(WHOLE)).otherwise(found)
+    # Never NULL, and declared so: otherwise joins on CHUNK test for it by searching again.
+    return F.when(F.col(_CUTS).isNull(), F.lit(WHOLE)).otherwise(F.coalesce(found, F.lit(0)))
 
 
-def _pieces(rows: DataFrame, splits: Splits | None, key: str) -> DataFrame:
-    if splits is None:
-        return rows.withColumn(CHUNK, F.lit(WHOLE))
-    return spread(rows.join(F.broadcast(splits.table.select(key)), key, "left_semi"), splits)
+def _candidates(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Keys that seem to have at least half the limit: at most 2 * max_chunks of them.
+
+    A key at the limit appears _SAMPLED times in the sample, give or take a twentieth.
+    """
+    share = min(1.0, _SAMPLED / limit)
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    sample = keys.sample(share, seed=0) if share < 1 else keys
+    frequent = sample.groupBy(key).agg(F.count("*").alias("rows")).filter(F.col("rows") >= share * limit / 2)
+    return _local(frequent.select(key))
 
 
 def _refine(

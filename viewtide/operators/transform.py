@@ -128,9 +128,9 @@ def latest(df: DataFrame) -> DataFrame:
     )
 
 
-def daily(df: DataFrame) -> DataFrame:
+def daily(df: DataFrame, splits: Splits | None = None) -> DataFrame:
     """Increments of each video per day on which it has a kept observation."""
-    return daily_from_steps(with_steps(df))
+    return daily_from_steps(with_steps(spread(df, splits)))
 
 
 def daily_from_steps(df: DataFrame) -> DataFrame:

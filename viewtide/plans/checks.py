@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions.expressions import day_of
-from viewtide.operators.spread import spread_keys
+from viewtide.operators.spread import Splits, spread, spread_keys
 from viewtide.operators.transform import changed_only, with_diffs
 from viewtide.schemas import FACTS, HISTORY_COLUMNS, VIDEO
 
@@ -82,7 +82,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
-def changed_row_count(df: DataFrame, mode: str = "increase") -> DataFrame:
+def changed_row_count(df: DataFrame, mode: str = "increase", splits: Splits | None = None) -> DataFrame:
     """How many rows the change filter would keep of a denormalized table."""
-    totals = df.select(*spread_keys(df, *VIDEO), *FACTS, "updated_at")
+    totals = spread(df.select(*spread_keys(df, *VIDEO), *FACTS, "updated_at"), splits)
     return row_count(changed_only(with_diffs(totals), mode))

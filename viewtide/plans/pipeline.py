@@ -100,10 +100,12 @@ def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int
     counted = parsed.observe(seen, F.count_if(REJECTED).alias("rejected"))
     write_stage(good_rows(counted, table), out, table)
     bad = rejects(parsed, table)
-    if seen.get["rejected"] == 0:
-        bad = spark.createDataFrame([], bad.schema)
-    write_stage(bad, stage_path(out, REJECTS), table)
-    check_rejects(read_stage(spark, stage_path(out, REJECTS), table), max_rejects)
+    rejects_dir = stage_path(out, REJECTS)
+    if seen.get["rejected"]:
+        write_stage(bad, rejects_dir, table)
+        check_rejects(read_stage(spark, rejects_dir, table), max_rejects)
+    else:
+        write_stage(spark.createDataFrame([], bad.schema), rejects_dir, table)
 
 
 def write_denorm(spark: SparkSession, out: str) -> None:
