@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 
 from viewtide.operators.constraints import ConstraintViolation, assert_clean, duplicates, null_counts
+from viewtide.operators.spread import find_splits
 from viewtide.plans import checks
 
 HISTORY = "gid string, views bigint, likes bigint, dislikes bigint, comments bigint, updated_at timestamp"
@@ -39,7 +40,16 @@ def test_history_without_meta(meta, history):
     assert found.columns == history.columns
     assert sorted((r.gid, r.updated_at) for r in found.collect()) == [("c", at(1)), ("c", at(3))]
     assert checks.history_without_meta(history, meta, limit=1).first().updated_at == at(1)
-    assert checks.history_without_meta(history.filter("gid <> 'c'"), meta).isEmpty()
+    none = checks.history_without_meta(history.filter("gid <> 'c'"), meta)
+    assert none.isEmpty() and none.columns == history.columns
+
+
+def test_history_without_meta_for_any_number_of_videos(meta, history, monkeypatch):
+    broadcast = sorted(checks.history_without_meta(history, meta).collect(), key=repr)
+    monkeypatch.setattr(checks, "MAX_BROADCAST_IDS", 0)
+    for splits in (None, find_splits(history, rows_per_chunk=1)):
+        found = checks.history_without_meta(history, meta, splits=splits)
+        assert sorted(found.collect(), key=repr) == broadcast
 
 
 def test_fact_decreased_ignores_a_missing_last_value(history):

@@ -5,7 +5,9 @@ from datetime import date
 import pytest
 
 from viewtide.operators.constraints import ConstraintViolation
+from viewtide.operators.spread import find_splits
 from viewtide.plans import pipeline
+from viewtide.schemas import DENORM_COLUMNS, FACTS, step
 from viewtide.sources.csv import TooManyRejects
 from viewtide.sources.stages import read_stage, write_stage
 
@@ -116,13 +118,13 @@ def test_violations_stop_the_run(folder, run):
     run(check=False)
 
 
-def test_large_videos_are_split_and_change_nothing(spark, folder, run, monkeypatch):
+def test_large_videos_are_split_and_change_nothing(spark, folder, run):
     run()
+    out = str(folder / "out")
+    assert find_splits(read_stage(spark, out, "history"), rows_per_chunk=1).longest >= 2
     plain = {name: report(folder, name) for name in ("category_totals", "daily_average", "hourly_totals")}
-    search, found = pipeline.find_splits, []
-    monkeypatch.setattr(pipeline, "find_splits", lambda h: found.append(search(h, rows_per_chunk=1)) or found[-1])
-    run(from_stage="denorm")
-    assert found[0].longest >= 2
+    run(from_stage="denorm", rows_per_chunk=1)
+    assert read_stage(spark, out, "denorm").columns == [*DENORM_COLUMNS, *map(step, FACTS)]
     assert {name: report(folder, name) for name in plain} == plain
 
 

@@ -88,8 +88,12 @@ _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Checks
     "check_meta_without_history": lambda i: checks.meta_without_history(i.meta, i.history),
     "check_meta_without_history_first": lambda i: checks.meta_without_history(i.meta, i.history, limit=10),
-    "check_history_without_meta": lambda i: checks.history_without_meta(i.history, i.known_meta()),
-    "check_history_without_meta_first": lambda i: checks.history_without_meta(i.history, i.known_meta(), limit=10),
+    "check_history_without_meta": lambda i: checks.history_without_meta(
+        i.history, i.known_meta(), splits=i.splits
+    ),
+    "check_history_without_meta_first": lambda i: checks.history_without_meta(
+        i.history, i.known_meta(), limit=10, splits=i.splits
+    ),
     "check_fact_decreased": lambda i: checks.fact_decreased(i.denorm()),
     "check_multi_updates_per_day": lambda i: checks.multi_updates_per_day(i.denorm()),
     "check_created_days": lambda i: checks.created_days(i.denorm()),

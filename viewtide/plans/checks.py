@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions.expressions import day_of
-from viewtide.operators.spread import Splits, spread, spread_keys
+from viewtide.operators.spread import Splits, replicate, spread, spread_keys
 from viewtide.operators.transform import changed_only, with_diffs
 from viewtide.schemas import FACTS, HISTORY_COLUMNS, VIDEO
 
+# Some tens of megabytes of video ids.
+MAX_BROADCAST_IDS = 500_000
+
 
 def _first(df: DataFrame, limit: int | None, *order) -> DataFrame:
     return df if limit is None else df.orderBy(*order).limit(limit)
@@ -22,15 +25,24 @@ def meta_without_history(meta: DataFrame, history: DataFrame, limit: int | None
     return _first(meta.join(observed, "gid", "left_anti"), limit, "gid")
 
 
-def history_without_meta(history: DataFrame, meta: DataFrame, limit: int | None = None) -> DataFrame:
+def history_without_meta(
+    history: DataFrame, meta: DataFrame, limit: int | None = None, splits: Splits | None = None
+) -> DataFrame:
     """Observations of unknown videos.
 
-    The unknown videos are found first. There are usually none or few, so the
-    observations themselves need not be shuffled to find theirs.
+    The unknown videos are counted first. There are usually none, or few enough to
+    broadcast, and then the observations themselves need no shuffle.
     """
     unknown = history.select("gid").distinct().join(meta, "gid", "left_anti")
-    found = history.join(unknown, "gid", "left_semi").select(*HISTORY_COLUMNS)
-    return _first(found, limit, "gid", "updated_at")
+    count = unknown.count()
+    if count == 0:
+        return history.select(*HISTORY_COLUMNS).limit(0)
+    if count <= MAX_BROADCAST_IDS:
+        found = history.join(F.broadcast(unknown), "gid", "left_semi")
+    else:
+        observations = spread(history, splits)
+        found = observations.join(replicate(unknown, splits), spread_keys(observations, "gid"), "left_semi")
+    return _first(found.select(*HISTORY_COLUMNS), limit, "gid", "updated_at")
 
 
 def fact_decreased(df: DataFrame, fact: str = "views", limit: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.operators.constraints import assert_clean
-from viewtide.operators.spread import CHUNK, find_splits
+from viewtide.operators.spread import CHUNK, ROWS_PER_CHUNK, find_splits
 from viewtide.operators.transform import daily_from_steps, denorm, latest
 from viewtide.plans import reports
 from viewtide.schemas import VIDEO
@@ -33,12 +33,14 @@ def run(
     from_stage: str | None = None,
     max_rejects: int = 0,
     check: bool = True,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> dict[str, float]:
     """Run the stages from `from_stage` on, and return how long each job took, in seconds.
 
     `src` gives the paths of the "meta" and "history" CSV files; it is needed only if the
     load runs. Jobs replace their output below `out`, so a run can be repeated, and a
-    failing job ends the run.
+    failing job ends the run. Videos with more than `rows_per_chunk` observations are
+    worked on in several tasks.
     """
     seconds: dict[str, float] = {}
     stages = STAGES[STAGES.index(from_stage or STAGES[0]):]
@@ -57,7 +59,7 @@ def run(
         phase("load", {f"load_{t}": partial(load, spark, src[t], out, t, max_rejects) for t in ("meta", "history")})
         checks("load_checks", "meta", "history")
     if "denorm" in stages:
-        phase("denorm", {"write_denorm": partial(write_denorm, spark, out)})
+        phase("denorm", {"write_denorm": partial(write_denorm, spark, out, rows_per_chunk)})
         checks("denorm_checks", "denorm")
     if "pre_agg" in stages:
         phase("pre_agg", {
@@ -108,11 +110,11 @@ def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int
         write_stage(spark.createDataFrame([], bad.schema), rejects_dir, table)
 
 
-def write_denorm(spark: SparkSession, out: str) -> None:
+def write_denorm(spark: SparkSession, out: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> None:
     """The files inherit the layout of the windows: rows of a video lie together, sorted
     by time. The steps are stored so that the daily increments need no window."""
     history = read_stage(spark, out, "history")
-    splits = find_splits(history)
+    splits = find_splits(history, rows_per_chunk=rows_per_chunk)
     kept = denorm(read_stage(spark, out, "meta"), history, splits, steps=True)
     write_stage(kept.drop(CHUNK), out, "denorm")
 
