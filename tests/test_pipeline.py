@@ -128,6 +128,13 @@ def test_large_videos_are_split_and_change_nothing(spark, folder, run):
     assert {name: report(folder, name) for name in plain} == plain
 
 
+def test_empty_inputs(spark, folder, run):
+    (folder / "meta.csv").write_text("")
+    (folder / "history.csv").write_text("\n")
+    run()
+    assert read_stage(spark, str(folder / "out"), "daily").isEmpty()
+
+
 def test_layout_spreads_a_video_over_ordered_files(spark, tmp_path):
     df = spark.range(4000).selectExpr("'a' as gid", "id as updated_at")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

@@ -103,7 +103,8 @@ def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int
     write_stage(good_rows(counted, table), out, table)
     bad = rejects(parsed, table)
     rejects_dir = stage_path(out, REJECTS)
-    if seen.get["rejected"]:
+    # Nothing is observed in an input without lines.
+    if not parsed.isEmpty() and seen.get["rejected"]:
         write_stage(bad, rejects_dir, table)
         check_rejects(read_stage(spark, rejects_dir, table), max_rejects)
     else:
