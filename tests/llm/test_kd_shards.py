@@ -1,0 +1,42 @@
+import zlib
+from collections import Counter
+
+import pytest
+
+from viewtide.llm.kd_shards import shard
+from viewtide.llm.queries import queries
+
+
+def check(rows, shards, texts):
+    assert sorted((r.doc_id is not None, r.doc_id, r.size, r.text_crc32) for r in rows) == sorted(
+        (d is not None, d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in texts
+    )
+    for s in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == s)
+        assert slots == list(range(len(slots)))
+    assert all(0 <= r.shard < shards and r.law == "bytes" and r.grown_shard is None for r in rows)
+    weights = Counter()
+    for r in rows:
+        weights[r.shard] += r.size
+    return weights
+
+
+def test_query_is_balanced(spark, duck, sf):
+    rows = queries()["op8_kd_shards"](spark, sf).collect()
+    weights = check(rows, 24, duck.sql("select doc_id, text from documents").fetchall())
+    mean = sum(weights.values()) / 24
+    assert len(weights) == 24 and max(abs(w - mean) for w in weights.values()) < max(r.size for r in rows)
+
+
+@pytest.mark.parametrize("text", ["same", None])
+def test_one_value_everywhere(documents, text):
+    rows = [(k, text, "s") for k in range(2400)]
+    weights = check(shard(documents(rows).selectExpr("*", "'en' lang"), 24).collect(), 24, [r[:2] for r in rows])
+    assert len(weights) == 24 and max(weights.values()) - min(weights.values()) <= 3 * 12
+
+
+def test_cases(documents):
+    rows = [(1, None, None), (1, None, None), (None, "a" * 300_000, "s"), (None, "", "t"), (5, "é", "t")]
+    check(shard(documents(rows).selectExpr("*", "cast(null as string) lang"), 3).collect(), 3, [r[:2] for r in rows])
+    assert shard(documents([]).selectExpr("*", "'en' lang"), 3).collect() == []
+    assert {r.shard for r in shard(documents(rows).selectExpr("*", "'en' lang"), 1).collect()} == {0}

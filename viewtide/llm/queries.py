@@ -4,15 +4,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import content_sort
+from viewtide.llm import content_sort, kd_shards
 from viewtide.llm.tables import read
 
 
+def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(read(spark, sf_dir, "documents"), shards=24)
+
+
 def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.deduplicate(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op8_kd_shards": op8_kd_shards,
         "op10_content_sort": op10_content_sort,
     }
