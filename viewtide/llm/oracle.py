@@ -1,11 +1,49 @@
 """The queries SQL can express, for DuckDB over the same tables."""
 
+from viewtide.llm.systematic_mix import offset
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 _SPACES = r"'[\x20\x09-\x0D]'"
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_systematic_mix": f"""
+            with sized as (
+                select doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS})) as size from documents
+            ), totals as (
+                select source, cast(sum(size) as bigint) as source_size,
+                       (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
+                from sized group by source
+            ), steps as (
+                -- every count of sources that could be held at their limit, and the rate it gives
+                select t.source, t.source_size, t.weight,
+                       (select cast(sum(source_size) as double) from totals)
+                           - coalesce(sum(3.0 * h.source_size), 0) as free,
+                       (select sum(weight) from totals) - coalesce(sum(h.weight), 0) as open_weight
+                from totals t left join totals h
+                  on h.source_size * t.weight < t.source_size * h.weight
+                  or (h.source_size * t.weight = t.source_size * h.weight
+                      and h.source is distinct from t.source
+                      and (t.source is null or h.source < t.source))
+                group by all
+            ), rate as (
+                select min(free / open_weight) as rate from steps
+                where weight * (free / open_weight) < 3 * source_size
+            ), targets as (
+                select source, source_size,
+                       least(cast(3 * source_size as double), coalesce(weight * rate, 3 * source_size)) as target
+                from totals, rate
+            ), placed as (
+                select s.doc_id, s.size, t.source_size, t.target,
+                       row_number() over (partition by s.source order by s.size, s.doc_id nulls last) as k,
+                       case when t.source_size > 0 then t.target / t.source_size else 0 end as e
+                from sized s join targets t on s.source is not distinct from t.source
+            )
+            select doc_id, cast(size as bigint) as size, source_size, target,
+                   cast(size * (floor(k * e + {offset()}) - floor((k - 1) * e + {offset()})) as bigint) as taken
+            from placed
+        """,
         "op10_content_sort": f"""
             with normal as (
                 select doc_id, length(coalesce(text, '')) as points,

@@ -3,21 +3,35 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from viewtide.llm import content_sort, kd_shards
+from viewtide.llm import content_sort, kd_shards, systematic_mix, token_files
 from viewtide.llm.tables import read
 
 
+def op4_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = systematic_mix.mix(read(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken")
+    )
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(read(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_read(read(spark, sf_dir, "documents"))
+
+
 def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.deduplicate(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_systematic_mix": op4_systematic_mix,
         "op8_kd_shards": op8_kd_shards,
+        "op9_token_files": op9_token_files,
         "op10_content_sort": op10_content_sort,
     }
