@@ -44,6 +44,24 @@ def oracle_sql() -> dict[str, str]:
                    cast(size * (floor(k * e + {offset()}) - floor((k - 1) * e + {offset()})) as bigint) as taken
             from placed
         """,
+        "op7_warc": """
+            with hashed as (
+                select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
+            ), coded as (
+                -- 20 bits at a time: five digits of base 16, four of base 32
+                select *, min(page_id) over (partition by payload) as first_id,
+                       array_to_string([
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+                               ((cast('0x' || hex[5 * (i // 4) + 1 : 5 * (i // 4) + 5] as bigint)
+                                 >> (15 - 5 * (i % 4))) & 31) + 1]
+                           for i in range(32)], '') as payload_digest
+                from hashed
+            )
+            select page_id, cast(strlen(payload) as bigint) as payload_bytes, payload_digest,
+                   case when page_id = first_id then 'response' else 'revisit' end as record_type,
+                   case when page_id <> first_id then first_id end as refers_to
+            from coded
+        """,
         "op10_content_sort": f"""
             with normal as (
                 select doc_id, length(coalesce(text, '')) as points,

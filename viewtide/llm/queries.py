@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtide.llm import content_sort, kd_shards, systematic_mix, token_files
+from viewtide.llm import content_sort, kd_shards, systematic_mix, token_files, warc
 from viewtide.llm.tables import read
 
 
@@ -16,6 +16,10 @@ def op4_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(read(spark, sf_dir, "documents"), shards=24)
 
@@ -31,6 +35,7 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_systematic_mix": op4_systematic_mix,
+        "op7_warc": op7_warc,
         "op8_kd_shards": op8_kd_shards,
         "op9_token_files": op9_token_files,
         "op10_content_sort": op10_content_sort,
