@@ -5,10 +5,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtide.llm import content_sort, kd_shards, systematic_mix, token_files, warc
+from viewtide.llm import (
+    content_sort, kd_shards, ordinal_quality, spaced_seeds, systematic_mix, token_files, warc,
+)
 from viewtide.llm.tables import read
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = ordinal_quality.fit(docs, read(spark, sf_dir, "labels"))
+    return ordinal_quality.score(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op4_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = systematic_mix.mix(read(spark, sf_dir, "documents"))
     return mixed.select(
@@ -16,6 +24,11 @@ def op4_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = spaced_seeds.mark(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", "n_items", (F.col("n_items") > 0).alias("contaminated"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
@@ -34,7 +47,9 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ordinal_quality": op1_ordinal_quality,
         "op4_systematic_mix": op4_systematic_mix,
+        "op6_spaced_seeds": op6_spaced_seeds,
         "op7_warc": op7_warc,
         "op8_kd_shards": op8_kd_shards,
         "op9_token_files": op9_token_files,
