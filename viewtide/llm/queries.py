@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import (
-    content_sort, kd_shards, lsh_forest, ordinal_quality, spaced_seeds, systematic_mix, token_files, warc,
+    content_sort, kd_shards, lsh_forest, ordinal_quality, ppm, spaced_seeds, systematic_mix, token_files, warc,
 )
 from viewtide.llm.tables import read
 
@@ -17,6 +17,10 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.score(docs.select("doc_id", "text"), model).drop("text")
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(read(spark, sf_dir, "documents"))
+
+
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.join(read(spark, sf_dir, "documents")).drop("row_id", "class_row")
 
@@ -52,6 +56,7 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ordinal_quality": op1_ordinal_quality,
+        "op2_ppm": op2_ppm,
         "op3_lsh_forest": op3_lsh_forest,
         "op4_systematic_mix": op4_systematic_mix,
         "op6_spaced_seeds": op6_spaced_seeds,
