@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import (
-    content_sort, kd_shards, lsh_forest, ordinal_quality, ppm, spaced_seeds, systematic_mix, token_files, warc,
+    content_sort, kd_shards, lsh_forest, ordinal_quality, ppm, spaced_seeds, suffix_sort, systematic_mix, token_files, warc,
 )
 from viewtide.llm.tables import read
 
@@ -32,6 +32,10 @@ def op4_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_sort.deduplicate(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = spaced_seeds.mark(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
     return marked.select("doc_id", "n_items", (F.col("n_items") > 0).alias("contaminated"))
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ppm": op2_ppm,
         "op3_lsh_forest": op3_lsh_forest,
         "op4_systematic_mix": op4_systematic_mix,
+        "op5_suffix_sort": op5_suffix_sort,
         "op6_spaced_seeds": op6_spaced_seeds,
         "op7_warc": op7_warc,
         "op8_kd_shards": op8_kd_shards,

@@ -63,8 +63,8 @@ def split(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACES) ->
     starts = np.flatnonzero(~gap & before)
     ends = np.flatnonzero(~gap & after) + 1
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _power(n, True), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _power(n, False)[starts])
+    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * power(n, True), out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * power(n, False)[starts])
     return Words(len(offsets) - 1, data, offsets, np.searchsorted(offsets, starts, "right") - 1, starts, ends, hashes)
 
 
@@ -111,7 +111,7 @@ def _chain(columns: list[np.ndarray]) -> np.ndarray:
     return mix(h)
 
 
-def _power(n: int, up: bool) -> np.ndarray:
+def power(n: int, up: bool) -> np.ndarray:
     known = _powers[up]
     if len(known) < n:
         factor = np.full(max(n, 2 * len(known), 1 << 16), _BASE if up else _INVERSE, np.uint64)
