@@ -34,6 +34,7 @@ from viewtide.llm.words import Words, pieces, split
 ORDER = 5
 ADDED = 0.1
 _BLOCK_BITS = 12
+_PIECE_BYTES = 1 << 19
 _END_WORD = np.uint64(0xE4D)
 _END, _SPACE = 10, 32
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -56,11 +57,11 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     entries = store(rows.mapInArrow(lambda batches: _entries(batches, order, parts), _ENTRIES), "entries")
     short, totals = _short_contexts(entries, order)
     priced = entries.groupBy("part", "words").applyInPandas(
-        lambda group: _price(group, short, order), "block bigint, words boolean, keys binary, counts binary"
+        lambda group: _price(group, short, order), _ENTRIES
     )
     n, v = totals
     scored = rows.groupBy("block").cogroup(priced.groupBy("block")).applyInPandas(
-        lambda texts, prices: _score(texts, prices, n, v, order),
+        lambda texts, prices: _score(texts, prices, n, v, order, parts),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",
     )
@@ -103,7 +104,7 @@ def grams(data: np.ndarray, row: np.ndarray, order: int) -> np.ndarray:
 def _entries(batches: Iterator[pa.RecordBatch], order: int, parts: int) -> Iterator[pa.RecordBatch]:
     block, held = None, ([], [])
     for batch in batches:
-        for part, data, offsets in pieces(batch, "text"):
+        for part, data, offsets in pieces(batch, "text", _PIECE_BYTES):
             for at, to in _stretches(part.column("block").to_numpy()):
                 number = part.column("block")[at].as_py()
                 if number != block and block is not None:
@@ -129,7 +130,7 @@ def _add(held: list, keys: np.ndarray, learned: np.ndarray) -> None:
     known, counts = np.unique(keys[learned], return_counts=True)
     others = np.setdiff1d(np.unique(keys[~learned]), known, assume_unique=True)
     held.append((np.concatenate([known, others]), np.concatenate([counts, np.zeros(len(others), np.int64)])))
-    if len(held) > 4:
+    if len(held) > 12:
         held[:] = [_merged(held)]
 
 
@@ -209,11 +210,15 @@ def _price(group: pd.DataFrame, short: np.ndarray, order: int) -> pd.DataFrame:
     known, place = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.bincount(place, np.concatenate([np.frombuffer(c, np.uint32) for c in group["counts"]]), len(known))
     value = counts if group["words"].iloc[0] else chain_price(known, counts, short, order)
-    values, at = [], 0
+    of_words, values, at = bool(group["words"].iloc[0]), [], 0
     for k in keys:
-        values.append(value[place[at : at + len(k)]].astype(np.float64 if group["words"].iloc[0] else np.float32).tobytes())
+        values.append(value[place[at : at + len(k)]].astype(np.uint32 if of_words else np.float32).tobytes())
         at += len(k)
-    return pd.DataFrame({"block": group["block"], "words": group["words"], "keys": group["keys"], "counts": values})
+    # A block can tell its words in the order it sent them, so their keys need not go back.
+    back = [b""] * len(keys) if of_words else group["keys"]
+    return pd.DataFrame({
+        "block": group["block"], "part": group["part"], "words": group["words"], "keys": back, "counts": values,
+    })
 
 
 def chain_price(known: np.ndarray, counts: np.ndarray, short: np.ndarray, order: int) -> np.ndarray:
@@ -257,18 +262,26 @@ def chain_price(known: np.ndarray, counts: np.ndarray, short: np.ndarray, order:
     return price
 
 
-def _score(texts: pd.DataFrame, prices: pd.DataFrame, n: int, v: int, order: int) -> pd.DataFrame:
-    tables = []
-    for words, kind in ((False, np.float32), (True, np.float64)):
-        own = prices[prices["words"] == words]
-        keys = np.concatenate([np.zeros(0, np.uint64), *[_keys(k) for k in own["keys"]]])
-        values = np.concatenate([np.zeros(0), *[np.frombuffer(x, kind) for x in own["counts"]]])
-        by_key = np.argsort(keys)
-        tables.append((keys[by_key], values[by_key]))
-    look = lambda keys, table: table[1][np.searchsorted(table[0], keys)]
+def _score(texts: pd.DataFrame, prices: pd.DataFrame, n: int, v: int, order: int, parts: int) -> pd.DataFrame:
     batch = pa.RecordBatch.from_pydict({"text": pa.array(texts["text"], pa.binary())})
+    of_words = prices["words"].to_numpy(bool)
+    own = prices[~of_words]
+    keys = np.concatenate([np.zeros(0, np.uint64), *map(_keys, own["keys"])])
+    values = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(x, np.float32) for x in own["counts"]]])
+    by_key = np.argsort(keys)
+    tables = [(keys[by_key], values[by_key])]
+    met = [np.array([_END_WORD])]
+    for _, data, offsets in pieces(batch, "text", _PIECE_BYTES):
+        met.append(np.unique(split(data, offsets).hashes))
+    known = np.unique(np.concatenate(met))
+    sent = np.argsort(_part_of(known, True, parts), kind="stable")
+    counted = prices[of_words].sort_values("part")["counts"]
+    counts = np.empty(len(known), np.uint32)
+    counts[sent] = np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer(x, np.uint32) for x in counted]])
+    tables.append((known, counts))
+    look = lambda keys, table: table[1][np.searchsorted(table[0], keys)]
     scores, bases, tokens, knowns = [], [], [], []
-    for _, data, offsets in pieces(batch, "text"):
+    for _, data, offsets in pieces(batch, "text", _PIECE_BYTES):
         words = split(data, offsets)
         text, row = stream(words)
         place, entries = pd.factorize(grams(text, row, order))
