@@ -46,9 +46,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
         text_of("text").cast("binary").alias("text"),
     )
-    anchors = rows.select("row_id", "text").mapInArrow(_anchors, "hash bigint, row_id bigint, low int, n int, at int")
+    anchors = rows.select("row_id", "text").mapInArrow(_anchors, "hash bigint, row_id bigint, run bigint")
     repeated = anchors.withColumn("times", F.count("*").over(Window.partitionBy("hash"))).filter("times > 1")
-    per_row = repeated.groupBy("row_id").agg(F.collect_list(F.struct("low", "n", "at")).alias("anchors"))
+    per_row = repeated.groupBy("row_id").agg(F.collect_list("run").alias("runs"))
     suffixes = rows.join(per_row, "row_id").mapInArrow(
         _suffixes, "lead binary, doc_id bigint, row_id bigint, low int, n int, at int, bytes binary"
     )
@@ -70,9 +70,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in pieces(batch, "text"):
             ids = part.column("row_id").to_numpy()
             low, n, at, hashes, row = anchor_runs(data, offsets)
+            # First window, number of windows and distance of the anchor: at most 69 each.
             yield pa.RecordBatch.from_pydict({
-                "hash": pa.array(hashes.view(np.int64)), "row_id": pa.array(ids[row]), "low": pa.array(low, pa.int32()),
-                "n": pa.array(n, pa.int32()), "at": pa.array(at, pa.int32()),
+                "hash": pa.array(hashes.view(np.int64)), "row_id": pa.array(ids[row]),
+                "run": pa.array(low << 14 | n << 7 | at - low),
             })
 
 
@@ -115,26 +116,27 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = [batch.column(c) for c in ("doc_id", "row_id", "text", "anchors")]
-        held: list[tuple] = []
-        size = 0
-        for doc_id, row_id, text, anchors in zip(*columns):
-            doc_id, row_id, text = doc_id.as_py(), row_id.as_py(), memoryview(text.as_buffer())
-            for a in sorted(anchors.as_py(), key=lambda a: a["low"]):
-                low, n, at = a["low"], a["n"], a["at"]
-                held.append((bytes(text[at : at + GRAM]), doc_id, row_id, low, n, at, bytes(text[low : low + n + LENGTH - 1])))
-            size += len(text)
-            if size > 4 << 20:
-                yield _suffix_batch(held)
-                held, size = [], 0
-        if held:
-            yield _suffix_batch(held)
-
-
-def _suffix_batch(held: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-    names = ("lead", "doc_id", "row_id", "low", "n", "at", "bytes")
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*held), kinds)], names=names)
+        for part, data, offsets in pieces(batch, "text"):
+            lists = part.column("runs")
+            run = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+            low, n, ahead = run >> 14, run >> 7 & 127, run & 127
+            start = low + offsets[row]
+            lengths = n + LENGTH - 1
+            ends = np.cumsum(lengths)
+            source = np.arange(ends[-1]) - np.repeat(ends - lengths - start, lengths)
+            leads = (start + ahead)[:, None] + np.arange(GRAM)
+            yield pa.RecordBatch.from_pydict({
+                "lead": _binary(data[leads].reshape(-1), np.arange(1, len(run) + 1) * GRAM),
+                "doc_id": part.column("doc_id").take(pa.array(row)), "row_id": part.column("row_id").take(pa.array(row)),
+                "low": pa.array(low, pa.int32()), "n": pa.array(n, pa.int32()), "at": pa.array(low + ahead, pa.int32()),
+                "bytes": _binary(data[source], ends),
+            })
+
+
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +161,6 @@ def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBa
     change[1:] = leads[1:] != leads[:-1]
     group = np.cumsum(change) - 1
     row_ids, low = rows.column("row_id").to_numpy(), rows.column("low").to_numpy().astype(np.int64)
-    doc_ids = rows.column("doc_id").to_pylist()
     n, at = rows.column("n").to_numpy().astype(np.int64), rows.column("at").to_numpy().astype(np.int64)
     texts = rows.column("bytes").to_pylist()
     places = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
@@ -180,23 +181,34 @@ def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBa
         order = np.argsort(classes, kind="stable")
         firsts[order[1:]] = classes[order[1:]] != classes[order[:-1]]
         repeated[part[~firsts]] = True
-    out = []
-    for k, flags in enumerate(np.split(repeated, starts[1:-1])):
-        steps = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-        for a, b in zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist()):
-            begin = int(low[k]) + a
-            out.append((int(row_ids[k]), doc_ids[k], begin, int(low[k]) + b - 1 + LENGTH,
-                        row_ids[k].tobytes() + begin.to_bytes(16, "little")))
-        if edge[k]:
-            text = texts[k]
-            for t in np.flatnonzero(~flags).tolist():
-                out.append((int(row_ids[k]), doc_ids[k], int(low[k]) + t, int(low[k]) + t + LENGTH,
-                            hashlib.blake2b(text[t : t + LENGTH], digest_size=16).digest()))
-    if out:
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, k) for v, k in zip(zip(*out), kinds)], names=["row_id", "doc_id", "low", "high", "digest"]
-        )
+    # Neighbouring repeated windows of a suffix make one stretch.
+    opens, closes = repeated.copy(), repeated.copy()
+    opens[1:] &= ~repeated[:-1] | (owner[1:] != owner[:-1])
+    closes[:-1] &= ~repeated[1:] | (owner[1:] != owner[:-1])
+    opens, closes = np.flatnonzero(opens), np.flatnonzero(closes)
+    suffix = owner[opens]
+    begin = low[suffix] + shift[opens]
+    # Longer than a digest, and different for each.
+    marks = np.stack([row_ids[suffix], begin, suffix], axis=1).astype(np.int64)
+    docs = rows.column("doc_id")
+    yield _found(row_ids[suffix], docs.take(pa.array(suffix)), begin, low[suffix] + shift[closes] + LENGTH,
+                 _binary(marks.reshape(-1).view(np.uint8), np.arange(1, len(suffix) + 1) * 24))
+    open_ended = np.flatnonzero(edge[owner] & ~repeated)
+    if len(open_ended):
+        suffix, t = owner[open_ended], shift[open_ended]
+        digests = [hashlib.blake2b(texts[k][a : a + LENGTH], digest_size=16).digest()
+                   for k, a in zip(suffix.tolist(), t.tolist())]
+        begin = low[suffix] + t
+        yield _found(row_ids[suffix], docs.take(pa.array(suffix)), begin, begin + LENGTH, pa.array(digests, pa.binary()))
+
+
+def _found(row_id: np.ndarray, doc_id: pa.Array, low: np.ndarray, high: np.ndarray, digest: pa.Array) -> pa.RecordBatch:
+    if isinstance(doc_id, pa.ChunkedArray):
+        doc_id = doc_id.combine_chunks()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row_id), doc_id, pa.array(low, pa.int32()), pa.array(high, pa.int32()), digest],
+        names=["row_id", "doc_id", "low", "high", "digest"],
+    )
 
 
 def _portions(key: np.ndarray) -> Iterator[np.ndarray]:
