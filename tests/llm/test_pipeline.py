@@ -1,0 +1,19 @@
+import corpus_pipeline
+
+
+def test_stages_on_the_tables(spark, sf, tmp_path):
+    """Each stage gives what its operator keeps of the stage before; the last counts every document taken."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    before, columns = docs.count(), docs.columns
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(number))
+        stage(spark, docs, sf).write.parquet(path)
+        after = spark.read.parquet(path)
+        if number < 4:
+            assert after.columns == columns
+            assert after.join(docs, "doc_id", "left_anti").filter("doc_id is not null").count() == 0
+        if number < 3:
+            assert 0 < after.count() < before
+        if number == 4:
+            assert after.count() == before
+        docs, before = after, after.count()
