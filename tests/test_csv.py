@@ -42,6 +42,15 @@ def test_timestamp_forms(load, text):
     (",1,1,1,1,2018-06-02 02:00:00", "gid: missing"),
     ('"",1,1,1,1,2018-06-02 02:00:00', "gid: missing"),
     ("YT:f,1,1,1,1,", "updated_at: missing"),
+    ("YT:f,1,1,1,1,12:00:00", "updated_at: not a timestamp"),
+    ("YT:f,1,1,1,1,2018", "updated_at: not a timestamp"),
+    ("YT:f,1,1,1,1,2018-06", "updated_at: not a timestamp"),
+    ("YT:f,1,1,1,1,2018-02-30", "updated_at: not a timestamp"),
+    ("YT:f,1,1,1,1, 2018-06-02", "updated_at: not a timestamp"),
+    ("YT:f, 7,1,1,1,2018-06-02 02:00:00", "views: not a bigint"),
+    ("YT:f,7 ,1,1,1,2018-06-02 02:00:00", "views: not a bigint"),
+    ("", "blank line"),
+    ("  ", "blank line"),
     ("YT:123456789012,1,1,1,1,2018-06-02 02:00:00", "gid: longer than 14 bytes"),
 ])
 def test_rejects_keep_their_line_and_reason(load, line, reason):
@@ -67,7 +76,9 @@ def test_meta(load):
         "",
     )
     assert good == [("YT:a", "UC1", 10, datetime(2018, 6, 1), 61), ("YT:b", None, None, None, None)]
-    assert sorted(reason for _, reason in rejects) == ["category_id: not a bigint", "user_id: longer than 24 bytes"]
+    assert sorted(reason for _, reason in rejects) == [
+        "blank line", "category_id: not a bigint", "user_id: longer than 24 bytes",
+    ]
 
 
 def test_reject_limit(spark, tmp_path):

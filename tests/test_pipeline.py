@@ -4,7 +4,7 @@ from datetime import date
 
 import pytest
 
-from viewtide.operators.constraints import ConstraintViolation
+from viewtide.operators.constraints import ConstraintViolation, assert_clean
 from viewtide.operators.spread import find_splits
 from viewtide.plans import pipeline
 from viewtide.schemas import DENORM_COLUMNS, FACTS, step
@@ -118,6 +118,39 @@ def test_violations_stop_the_run(folder, run):
     run(check=False)
 
 
+def test_no_start_behind_a_failed_stage(spark, folder, run):
+    out = str(folder / "out")
+    (folder / "history.csv").write_text(HISTORY + '"YT:b","2100","3","1","0",2018-06-02 10:30:00\n')
+    with pytest.raises(ConstraintViolation, match="history: 1 duplicate keys"):
+        run()
+    for stage in ("denorm", "pre_agg", "report"):
+        with pytest.raises(pipeline.UncheckedStage, match="load: started"):
+            run(from_stage=stage)
+    run(check=False)
+    assert pipeline.marker(spark, out, "denorm") == "unchecked"
+    with pytest.raises(pipeline.UncheckedStage, match="load: unchecked"):
+        run(from_stage="report")
+    (folder / "history.csv").write_text(HISTORY + "YT:b,1\n")
+    with pytest.raises(TooManyRejects):
+        run()
+    with pytest.raises(pipeline.UncheckedStage):
+        run(from_stage="denorm")
+    (folder / "history.csv").write_text(HISTORY)
+    run()
+    assert {pipeline.marker(spark, out, s) for s in ("load", "denorm", "pre_agg")} == {"checked"}
+    run(from_stage="report")
+    with pytest.raises(pipeline.UncheckedStage, match="no marker"):
+        pipeline.run(spark, None, str(folder / "none"), AS_OF, from_stage="report")
+
+
+def test_the_key_of_denorm_is_checked(spark, folder, run):
+    run()
+    out = str(folder / "out")
+    kept = read_stage(spark, out, "denorm")
+    with pytest.raises(ConstraintViolation, match="denorm: 3 duplicate keys"):
+        assert_clean(kept.union(kept), "denorm")
+
+
 def test_large_videos_are_split_and_change_nothing(spark, folder, run):
     run()
     out = str(folder / "out")
@@ -130,7 +163,7 @@ def test_large_videos_are_split_and_change_nothing(spark, folder, run):
 
 def test_empty_inputs(spark, folder, run):
     (folder / "meta.csv").write_text("")
-    (folder / "history.csv").write_text("\n")
+    (folder / "history.csv").write_text("")
     run()
     assert read_stage(spark, str(folder / "out"), "daily").isEmpty()
 

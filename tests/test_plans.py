@@ -99,16 +99,14 @@ def test_orphan_checks_reduce_observations_before_the_shuffle(stages):
     assert "LeftAnti" in text
     history = text[text.index("HashAggregate"):]
     assert history.count("HashAggregate") == 2
-    known = stages["meta"].filter("gid % 10 <> 0")
-    text = plan(checks.history_without_meta(stages["history"], known))
-    assert "LeftAnti" in text and "BroadcastHashJoin" in text
-    observations = text[text.index("LeftSemi"):].split("BroadcastExchange")[0]
-    assert "Exchange" not in observations
+    text = plan(checks.history_without_meta(stages["history"], stages["meta"]))
+    assert text.count("LeftAnti") == text.count("BroadcastHashJoin") > 0
+    assert len(re.findall(r"Scan parquet", text)) == 2
 
 
 def test_top_lists_do_not_sort_everything(stages):
-    assert "TakeOrderedAndProject" in plan(checks.updates_per_video(stages["denorm"]))
-    assert "TakeOrderedAndProject" in plan(checks.multi_updates_per_day(stages["denorm"]))
+    assert "TakeOrderedAndProject" in plan(checks.updates_per_video(stages["denorm"], limit=10))
+    assert "TakeOrderedAndProject" in plan(checks.multi_updates_per_day(stages["denorm"], limit=10))
 
 
 @pytest.mark.parametrize("name", [n for n in catalog.queries() if not n.startswith(("load", "stage", "pipeline", "report_csv"))])

@@ -48,9 +48,10 @@ class Inputs:
     def daily(self) -> DataFrame:
         return transform.daily(self.denorm())
 
-    def known_meta(self) -> DataFrame:
-        """Meta with every tenth video missing."""
-        return self.meta.filter(F.col("gid") % 10 != 0)
+    def orphaned(self) -> DataFrame:
+        """The history, with about every tenth observation under an id no video has."""
+        unused = F.when(F.col("views") % 10 == 3, -1 - F.col("gid")).otherwise(F.col("gid"))
+        return self.history.withColumn("gid", unused)
 
 
 def queries() -> dict[str, Query]:
@@ -69,6 +70,13 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _with_repeats(df: DataFrame, column: str) -> DataFrame:
+    """All rows, and those whose number ends in 3 twice."""
+    return df.withColumn("again", F.explode(F.when(F.col(column) % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))
+    ))).drop("again")
+
+
 _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Transforms
     "denorm_join": lambda i: i.joined(),
@@ -89,16 +97,16 @@ _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "check_meta_without_history": lambda i: checks.meta_without_history(i.meta, i.history),
     "check_meta_without_history_first": lambda i: checks.meta_without_history(i.meta, i.history, limit=10),
     "check_history_without_meta": lambda i: checks.history_without_meta(
-        i.history, i.known_meta(), splits=i.splits
+        i.orphaned().drop(CHUNK), i.meta, splits=i.splits
     ),
     "check_history_without_meta_first": lambda i: checks.history_without_meta(
-        i.history, i.known_meta(), limit=10, splits=i.splits
+        i.orphaned().drop(CHUNK), i.meta, limit=10, splits=i.splits
     ),
     "check_fact_decreased": lambda i: checks.fact_decreased(i.denorm()),
-    "check_multi_updates_per_day": lambda i: checks.multi_updates_per_day(i.denorm()),
+    "check_multi_updates_per_day": lambda i: checks.multi_updates_per_day(i.denorm(), limit=10),
     "check_created_days": lambda i: checks.created_days(i.denorm()),
     "check_updated_days": lambda i: checks.updated_days(i.denorm()),
-    "check_updates_per_video": lambda i: checks.updates_per_video(i.denorm()),
+    "check_updates_per_video": lambda i: checks.updates_per_video(i.denorm(), limit=10),
     "check_row_count": lambda i: checks.row_count(i.denorm()),
     "check_changed_row_count": lambda i: checks.changed_row_count(i.denorm()),
     "check_changed_row_count_unfiltered": lambda i: checks.changed_row_count(i.joined()),
@@ -106,6 +114,20 @@ _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "video_day_history": lambda i: checks.video_day_history(i.denorm(), GID, DAY),
     "check_pk_duplicates": lambda i: duplicates(i.denorm(), CONSTRAINTS["daily"].key),
     "check_pk_duplicates_history": lambda i: duplicates(i.history, CONSTRAINTS["history"].key),
+    "check_pk_duplicates_history_found": lambda i: duplicates(
+        _with_repeats(i.history, "views"), CONSTRAINTS["history"].key
+    ),
+    "check_pk_duplicates_meta_found": lambda i: duplicates(_with_repeats(i.meta, "gid"), CONSTRAINTS["meta"].key),
+    "check_pk_duplicates_denorm_found": lambda i: duplicates(
+        _with_repeats(i.denorm(), "views"), CONSTRAINTS["denorm"].key
+    ),
+    "check_pk_duplicates_latest_found": lambda i: duplicates(
+        _with_repeats(i.latest(), "gid"), CONSTRAINTS["latest"].key
+    ),
+    "check_pk_duplicates_daily_found": lambda i: duplicates(
+        _with_repeats(i.daily(), "gid"), CONSTRAINTS["daily"].key
+    ),
+    "history_lookup": lambda i: checks.video_history(i.history, GID),
     "check_not_null": lambda i: null_counts(i.history, HISTORY_COLUMNS),
     "check_not_null_latest": lambda i: null_counts(i.latest(), HISTORY_COLUMNS),
 }

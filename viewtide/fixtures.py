@@ -115,7 +115,7 @@ def csv_history_fields() -> list[Column]:
 
 
 def csv_history_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of which every fifth is faulty, each kind of fault in turn."""
+    """Lines of which every fourth is faulty, each kind of fault in turn."""
     gid, *_, updated_at = csv_history_fields()
     ten, none = F.lit('"10"'), F.lit('""')
     faults = [
@@ -127,10 +127,14 @@ def csv_history_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         (gid, ten, ten, ten, ten, F.lit("")),
         (F.lit('"YT:much-too-long"'), ten, ten, ten, ten, updated_at),
         (gid, ten, ten, ten, ten, updated_at, ten),
+        (gid, ten, ten, ten, ten, F.lit("12:00:00")),
+        (gid, ten, ten, ten, ten, F.lit("2018")),
+        (gid, F.lit('" 7"'), ten, ten, ten, updated_at),
+        (F.lit("  "),),
     ]
     line = F.concat_ws(",", gid, ten, none, F.lit("2"), none, updated_at)
     for kind, fields in enumerate(faults):
-        line = F.when(F.col("event_id") % 40 == 5 * kind, F.concat_ws(",", *fields)).otherwise(line)
+        line = F.when(F.col("event_id") % 48 == 4 * kind, F.concat_ws(",", *fields)).otherwise(line)
     return observations(spark, sf_dir).select(line.alias("line"))
 
 

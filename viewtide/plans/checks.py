@@ -10,9 +10,6 @@ from viewtide.operators.spread import Splits, replicate, spread, spread_keys
 from viewtide.operators.transform import changed_only, with_diffs
 from viewtide.schemas import FACTS, HISTORY_COLUMNS, VIDEO
 
-# Some tens of megabytes of video ids.
-MAX_BROADCAST_IDS = 500_000
-
 
 def _first(df: DataFrame, limit: int | None, *order) -> DataFrame:
     return df if limit is None else df.orderBy(*order).limit(limit)
@@ -28,20 +25,10 @@ def meta_without_history(meta: DataFrame, history: DataFrame, limit: int | None
 def history_without_meta(
     history: DataFrame, meta: DataFrame, limit: int | None = None, splits: Splits | None = None
 ) -> DataFrame:
-    """Observations of unknown videos.
-
-    The unknown videos are counted first. There are usually none, or few enough to
-    broadcast, and then the observations themselves need no shuffle.
-    """
-    unknown = history.select("gid").distinct().join(meta, "gid", "left_anti")
-    count = unknown.count()
-    if count == 0:
-        return history.select(*HISTORY_COLUMNS).limit(0)
-    if count <= MAX_BROADCAST_IDS:
-        found = history.join(F.broadcast(unknown), "gid", "left_semi")
-    else:
-        observations = spread(history, splits)
-        found = observations.join(replicate(unknown, splits), spread_keys(observations, "gid"), "left_semi")
+    """Observations of unknown videos; one pass, chunk by chunk for split videos."""
+    observations = spread(history, splits)
+    known = replicate(meta.select("gid"), splits)
+    found = observations.join(known, spread_keys(observations, "gid"), "left_anti")
     return _first(found.select(*HISTORY_COLUMNS), limit, "gid", "updated_at")
 
 
@@ -66,7 +53,7 @@ def video_day_history(df: DataFrame, gid, day: date) -> DataFrame:
     return df.filter((F.col("gid") == F.lit(gid)) & (day_of("updated_at") == F.lit(day))).orderBy("updated_at")
 
 
-def multi_updates_per_day(df: DataFrame, limit: int | None = 10) -> DataFrame:
+def multi_updates_per_day(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The videos and days with the most rows, of those with more than one."""
     found = (
         df.groupBy("gid", day_of("updated_at").alias("day"))
@@ -84,7 +71,7 @@ def updated_days(df: DataFrame) -> DataFrame:
     return df.select(day_of("updated_at").alias("day")).distinct().orderBy("day")
 
 
-def updates_per_video(df: DataFrame, limit: int | None = 10) -> DataFrame:
+def updates_per_video(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The videos with the most rows."""
     found = df.groupBy("gid").agg(F.count("*").alias("count_updates")).select("count_updates", "gid")
     return _first(found, limit, F.desc("count_updates"), "gid")

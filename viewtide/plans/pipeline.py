@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,14 @@ log = logging.getLogger(__name__)
 # `schemas`. Starting from "model" is starting from the beginning.
 STAGES = ("model", "load", "denorm", "pre_agg", "report")
 
+# What the marker of a stage in the output folder says of its tables.
+MARKERS = "markers"
+STARTED, CHECKED, UNCHECKED = "started", "checked", "unchecked"
+
+
+class UncheckedStage(Exception):
+    """A run was to start behind a stage that did not end with clean tables."""
+
 
 def run(
     spark: SparkSession,
@@ -39,8 +48,10 @@ def run(
 
     `src` gives the paths of the "meta" and "history" CSV files; it is needed only if the
     load runs. Jobs replace their output below `out`, so a run can be repeated, and a
-    failing job ends the run. Videos with more than `rows_per_chunk` observations are
-    worked on in several tasks.
+    failing job ends the run. Each stage leaves a marker: "started" until its jobs and
+    checks are done, then "checked", or "unchecked" with `check=False`. A run does not start
+    behind a stage that is not checked, unless `check=False` says so. Videos with more than
+    `rows_per_chunk` observations are worked on in several tasks.
     """
     seconds: dict[str, float] = {}
     stages = STAGES[STAGES.index(from_stage or STAGES[0]):]
@@ -53,20 +64,28 @@ def run(
 
     def checks(name: str, *tables: str) -> None:
         if check:
-            phase(name, {f"check_{t}": partial(_check, spark, out, t) for t in tables})
+            phase(f"{name}_checks", {f"check_{t}": partial(_check, spark, out, t) for t in tables})
+        _mark(spark, out, name, CHECKED if check else UNCHECKED)
+
+    written = [s for s in ("load", "denorm", "pre_agg") if s in stages]
+    for stage in ("load", "denorm", "pre_agg"):
+        if stage in written:
+            _mark(spark, out, stage, STARTED)
+        elif check and (state := marker(spark, out, stage)) != CHECKED:
+            raise UncheckedStage(f"{stage}: {state or 'no marker'}; run it again, or start with check=False")
 
     if "load" in stages:
         phase("load", {f"load_{t}": partial(load, spark, src[t], out, t, max_rejects) for t in ("meta", "history")})
-        checks("load_checks", "meta", "history")
+        checks("load", "meta", "history")
     if "denorm" in stages:
         phase("denorm", {"write_denorm": partial(write_denorm, spark, out, rows_per_chunk)})
-        checks("denorm_checks", "denorm")
+        checks("denorm", "denorm")
     if "pre_agg" in stages:
         phase("pre_agg", {
             "write_latest": partial(write_latest, spark, out),
             "write_daily": partial(write_daily, spark, out),
         })
-        checks("pre_agg_checks", "latest", "daily")
+        checks("pre_agg", "latest", "daily")
     if "report" in stages:
         directory = stage_path(out, REPORTS)
         phase("report", {
@@ -89,9 +108,24 @@ def _together(jobs: dict[str, Callable[[], None]], seconds: dict[str, float]) ->
             done.result()
 
 
+def _mark(spark: SparkSession, out: str, stage: str, state: str) -> None:
+    marked = spark.createDataFrame([(state,)], "state string")
+    write_stage(marked.coalesce(1), stage_path(out, MARKERS), stage)
+
+
+def marker(spark: SparkSession, out: str, stage: str) -> str | None:
+    """What the stage's marker says; None without a marker."""
+    try:
+        found = spark.read.schema("state string").parquet(stage_path(stage_path(out, MARKERS), stage)).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found and found.state
+
+
 def _check(spark: SparkSession, out: str, table: str) -> None:
-    # A kept observation is an observation of one video, so its key follows from theirs.
-    assert_clean(read_stage(spark, out, table), table, key=table != "denorm")
+    assert_clean(read_stage(spark, out, table), table)
 
 
 def load(spark: SparkSession, path: str, out: str, table: str, max_rejects: int = 0) -> None:
