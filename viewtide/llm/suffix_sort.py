@@ -8,7 +8,9 @@ hundred times the input, so the array is sparse: of every window of `LENGTH` byt
 window's bytes, so equal windows have equal anchors at equal places, and neighbouring
 windows mostly share one. Suffixes start at anchors, each carrying the bytes of the windows
 it anchors. Anchors that occur once in the whole corpus cannot take part in a repeat and
-are left out after counting their hashes.
+are left out after counting their hashes. An anchor that occurs twice in a piece of text, two
+megabytes, is repeated for sure: only its first place is counted at its hash, and the rest
+are spread out, as are all its places in later pieces of the task.
 
 The suffixes are dealt over ranges by sampled splitters on their leading bytes, then
 document and position. Within a range, the windows of each anchor are sorted by multikey
@@ -37,6 +39,8 @@ GRAM = 32
 _SPREAD = LENGTH - GRAM + 1
 _PLACE_BITS = 30
 _WINDOWS_AT_ONCE = 200_000
+# Hashes a task remembers as repeated, half a megabyte; more are only told of again.
+_MOST_TOLD = 65_536
 _FOUND = "row_id bigint, doc_id bigint, low int, high int, digest binary"
 
 
@@ -46,8 +50,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
         text_of("text").cast("binary").alias("text"),
     )
-    anchors = rows.select("row_id", "text").mapInArrow(_anchors, "hash bigint, row_id bigint, run bigint")
-    repeated = anchors.withColumn("times", F.count("*").over(Window.partitionBy("hash"))).filter("times > 1")
+    anchors = rows.select("row_id", "text").mapInArrow(_anchors, "key bigint, sure boolean, row_id bigint, run bigint")
+    times = F.count("*").over(Window.partitionBy("key"))
+    repeated = anchors.withColumn("times", times).filter(F.col("sure") | (F.col("times") > 1))
     per_row = repeated.groupBy("row_id").agg(F.collect_list("run").alias("runs"))
     suffixes = rows.join(per_row, "row_id").mapInArrow(
         _suffixes, "lead binary, doc_id bigint, row_id bigint, low int, n int, at int, bytes binary"
@@ -66,17 +71,38 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    told = np.zeros(0, np.uint64)
     for batch in batches:
         for part, data, offsets in pieces(batch, "text"):
             ids = part.column("row_id").to_numpy()
             low, n, at, hashes, row = anchor_runs(data, offsets)
+            key, sure, told = spread_repeats(hashes, ids[row], low, told)
             # First window, number of windows and distance of the anchor: at most 69 each.
             yield pa.RecordBatch.from_pydict({
-                "hash": pa.array(hashes.view(np.int64)), "row_id": pa.array(ids[row]),
+                "key": pa.array(key.view(np.int64)), "sure": pa.array(sure), "row_id": pa.array(ids[row]),
                 "run": pa.array(low << 14 | n << 7 | at - low),
             })
 
 
+def spread_repeats(
+    hashes: np.ndarray, row_ids: np.ndarray, low: np.ndarray, told: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The key to count each anchor by, whether it is repeated for sure, and the hashes
+    already told to be repeated.
+
+    The first place in a piece stands at the hash, unless an earlier piece has told of it;
+    the others at a key of their own. What `told` forgets is only told once more.
+    """
+    values, first, inverse, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+    known = np.isin(values, told)
+    sure = ((times > 1) | known)[inverse]
+    stands = np.zeros(len(hashes), bool)
+    stands[first[~known]] = True
+    own = mix(mix(row_ids.astype(np.uint64)) + low.astype(np.uint64))
+    fresh = values[(times > 1) & ~known]
+    return np.where(stands, hashes, own), sure, np.concatenate([told, fresh])[-_MOST_TOLD:]
+
+
 def anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of windows that share an anchor: first window, number, anchor (all within
     the document), the anchor's hash, the document."""
