@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,26 +51,58 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
         text_of("text").cast("binary").alias("text"),
     )
-    anchors = rows.select("row_id", "text").mapInArrow(_anchors, "key bigint, sure boolean, row_id bigint, run bigint")
+    # Both joins find the same condition on the id, and so share one shuffle of the texts.
+    packed = rows.mapInArrow(_pack, "row_id bigint, doc_id bigint, packed binary, size bigint").filter("row_id is not null")
+    anchors = rows.select("row_id", "text").mapInArrow(_anchors, "key bigint, row_id bigint, run bigint")
     times = F.count("*").over(Window.partitionBy("key"))
-    repeated = anchors.withColumn("times", times).filter(F.col("sure") | (F.col("times") > 1))
+    sure = F.col("run").bitwiseAND(1) == 1
+    repeated = anchors.withColumn("times", times).filter(sure | (F.col("times") > 1))
     per_row = repeated.groupBy("row_id").agg(F.collect_list("run").alias("runs"))
-    suffixes = rows.join(per_row, "row_id").mapInArrow(
-        _suffixes, "lead binary, doc_id bigint, row_id bigint, low int, n int, at int, bytes binary"
+    suffixes = packed.join(per_row, "row_id").mapInArrow(
+        _suffixes, "lead binary, doc_id bigint, row_id bigint, run bigint, around binary"
     )
-    order = [F.col("lead"), F.col("doc_id").asc_nulls_last(), F.col("row_id"), F.col("low")]
+    order = [F.col("lead"), F.col("doc_id").asc_nulls_last(), F.col("row_id"), F.col("run")]
     found = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_repeats, _FOUND)
     # Rows with a digest were first in their range, and are removed if another range has
     # an earlier one; a digest has a row per range at most. The others are removed for sure.
     earlier = Window.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last(), "row_id", "low")
-    sure = F.octet_length("digest") > 16
+    sure = F.octet_length("digest") < 16
     removed = found.withColumn("rank", F.row_number().over(earlier)).filter(sure | (F.col("rank") > 1))
     spans = removed.groupBy("row_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    return rows.join(spans, "row_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    return packed.join(spans, "row_id", "left").select("doc_id", "packed", "size", "spans").mapInArrow(
         _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle, which both joins share."""
+    codec = pa.Codec("zstd", 1)
+    for batch in batches:
+        texts = batch.column("text")
+        yield pa.RecordBatch.from_pydict({
+            "row_id": batch.column("row_id"), "doc_id": batch.column("doc_id"),
+            "packed": pa.array([codec.compress(t, asbytes=True) for t in texts.to_pylist()], pa.binary()),
+            "size": pc.binary_length(texts).cast(pa.int64()),
+        })
+
+
+def _unpack(batches: Iterator[pa.RecordBatch], most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Slices of about `most` bytes of text (one document at least) with their texts."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        sizes = batch.column("size").to_pylist()
+        at = 0
+        while at < batch.num_rows:
+            to, total = at + 1, sizes[at]
+            while to < batch.num_rows and total + sizes[to] <= most:
+                total, to = total + sizes[to], to + 1
+            part = batch.slice(at, to - at)
+            texts = [codec.decompress(t, decompressed_size=n, asbytes=True) if n else b""
+                     for t, n in zip(part.column("packed").to_pylist(), sizes[at:to])]
+            yield part.append_column("text", pa.array(texts, pa.binary()))
+            at = to
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     told = np.zeros(0, np.uint64)
     for batch in batches:
@@ -77,10 +110,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = part.column("row_id").to_numpy()
             low, n, at, hashes, row = anchor_runs(data, offsets)
             key, sure, told = spread_repeats(hashes, ids[row], low, told)
-            # First window, number of windows and distance of the anchor: at most 69 each.
+            # First window; number of windows and distance of the anchor, at most 69 each.
             yield pa.RecordBatch.from_pydict({
-                "key": pa.array(key.view(np.int64)), "sure": pa.array(sure), "row_id": pa.array(ids[row]),
-                "run": pa.array(low << 14 | n << 7 | at - low),
+                "key": pa.array(key.view(np.int64)), "row_id": pa.array(ids[row]),
+                "run": pa.array(low << 15 | n << 8 | at - low << 1 | sure),
             })
 
 
@@ -141,25 +174,31 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _unpack(batches):
         for part, data, offsets in pieces(batch, "text"):
             lists = part.column("runs")
             run = lists.flatten().to_numpy()
             row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-            low, n, ahead = run >> 14, run >> 7 & 127, run & 127
+            low, n, ahead = _parts_of(run)
             start = low + offsets[row]
             lengths = n + LENGTH - 1
             ends = np.cumsum(lengths)
             source = np.arange(ends[-1]) - np.repeat(ends - lengths - start, lengths)
+            # The anchor itself goes as the lead; here it is left out.
+            begin = np.repeat(start + ahead, lengths)
+            source = source[(source < begin) | (source >= begin + GRAM)]
             leads = (start + ahead)[:, None] + np.arange(GRAM)
             yield pa.RecordBatch.from_pydict({
                 "lead": _binary(data[leads].reshape(-1), np.arange(1, len(run) + 1) * GRAM),
                 "doc_id": part.column("doc_id").take(pa.array(row)), "row_id": part.column("row_id").take(pa.array(row)),
-                "low": pa.array(low, pa.int32()), "n": pa.array(n, pa.int32()), "at": pa.array(low + ahead, pa.int32()),
-                "bytes": _binary(data[source], ends),
+                "run": pa.array(run), "around": _binary(data[source], np.cumsum(lengths - GRAM)),
             })
 
 
+def _parts_of(run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return run >> 15, run >> 8 & 127, run >> 1 & 127
+
+
 def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], ends]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
@@ -186,9 +225,9 @@ def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBa
     change = np.ones(len(leads), bool)
     change[1:] = leads[1:] != leads[:-1]
     group = np.cumsum(change) - 1
-    row_ids, low = rows.column("row_id").to_numpy(), rows.column("low").to_numpy().astype(np.int64)
-    n, at = rows.column("n").to_numpy().astype(np.int64), rows.column("at").to_numpy().astype(np.int64)
-    texts = rows.column("bytes").to_pylist()
+    row_ids = rows.column("row_id").to_numpy()
+    low, n, before = _parts_of(rows.column("run").to_numpy())
+    texts = [x[:k] + lead + x[k:] for x, k, lead in zip(rows.column("around").to_pylist(), before.tolist(), leads.tolist())]
     places = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
     data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
     edge = ((group == 0) & first) | ((group == group[-1]) & last)
@@ -197,7 +236,7 @@ def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBa
     owner = np.repeat(np.arange(len(n)), n)
     shift = np.arange(len(owner)) - starts[owner]
     # How far before its anchor a window starts: equal windows have that in common.
-    ahead = (at - low)[owner] - shift
+    ahead = before[owner] - shift
     by_anchor = group[owner] * LENGTH + ahead
     for part in _portions(by_anchor):
         windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH + 4)[places[owner[part]] + shift[part]].copy()
@@ -214,11 +253,11 @@ def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBa
     opens, closes = np.flatnonzero(opens), np.flatnonzero(closes)
     suffix = owner[opens]
     begin = low[suffix] + shift[opens]
-    # Longer than a digest, and different for each.
-    marks = np.stack([row_ids[suffix], begin, suffix], axis=1).astype(np.int64)
+    # Shorter than a digest; only spreads them.
+    marks = mix(mix(row_ids[suffix].astype(np.uint64)) + begin.astype(np.uint64))
     docs = rows.column("doc_id")
     yield _found(row_ids[suffix], docs.take(pa.array(suffix)), begin, low[suffix] + shift[closes] + LENGTH,
-                 _binary(marks.reshape(-1).view(np.uint8), np.arange(1, len(suffix) + 1) * 24))
+                 _binary(marks.view(np.uint8), np.arange(1, len(suffix) + 1) * 8))
     open_ended = np.flatnonzero(edge[owner] & ~repeated)
     if len(open_ended):
         suffix, t = owner[open_ended], shift[open_ended]
@@ -277,7 +316,7 @@ def multikey_classes(keys: np.ndarray, group: np.ndarray) -> np.ndarray:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _unpack(batches):
         out: list[tuple] = []
         for doc_id, text, spans in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")]):
             kept, end, removed, n_spans = [], 0, 0, 0
