@@ -33,6 +33,8 @@ def make(sizes):
 @pytest.mark.parametrize("sizes", [
     {"a": [100] * 30, "b": [5, 9], "c": [3]}, {"a": [7], "b": [900, 800], None: [3, 4, 5], "z": [1] * 50},
     {"only": [4, 5, 6]}, {"a": [0, 0], "b": [10, 20, 30]}, {"a": [5] * 999, "b": [1], "c": [1], "d": [2]},
+    {s: [20] for s in "abcd"}, {s: [20 + k, 5] for k, s in enumerate("abcdefghijk")}, {"a": [10], "b": [10], "c": [80], "d": [80]},
+    {f"s{k:03}": [1 + k * k % 97] * (1 + k % 5) for k in range(60)}, {"a": [6], "b": [3], "c": [2], "d": [6], None: [100]},
 ])
 def test_targets_and_words_taken(documents, sizes):
     docs = documents(make(sizes))
@@ -41,6 +43,8 @@ def test_targets_and_words_taken(documents, sizes):
     got = {r.source: r for r in plan(docs).collect()}
     assert {s: r.source_size for s, r in got.items()} == totals
     assert {s: r.target for s, r in got.items()} == pytest.approx(expected)
+    assert all(0 <= r.target <= 3 * r.source_size for r in got.values())
+    assert sum(r.target for r in got.values()) == pytest.approx(sum(totals.values()))
     taken, most = Counter(), Counter()
     for r in mix(docs).collect():
         taken[r.source] += r.copies * r.size
@@ -60,3 +64,27 @@ def test_cases(documents):
     assert mix(documents([])).collect() == []
     assert {r.target for r in mix(documents([(1, None, "a"), (2, "", None)])).collect()} == {0.0}
     assert sample(documents(rows)).columns == documents(rows).columns
+
+
+def test_callers_columns_stay_as_they_are(spark):
+    docs = spark.createDataFrame(
+        [(k, "w " * (k + 1), "s", f"a{k}", f"b{k}", -k, f"c{k}") for k in range(5)],
+        "doc_id long, text string, source string, start string, rank string, size long, id_slice string",
+    )
+    taken = sample(docs)
+    assert taken.columns == docs.columns and set(taken.collect()) <= set(docs.collect()) and taken.count() > 0
+    assert {(r.doc_id, r.start, r.rank, r.id_slice) for r in mix(docs).collect()} == {
+        (r.doc_id, r.start, r.rank, r.id_slice) for r in docs.collect()}
+    assert {r.size for r in mix(docs).collect()} == {1, 2, 3, 4, 5}
+    with pytest.raises(ValueError):
+        mix(docs.withColumnRenamed("rank", "_mix_rank"))
+
+
+def test_crowded_sizes(documents, monkeypatch):
+    """Slices of ids, and of texts where there is no id, give the same ranks as one window would."""
+    monkeypatch.setattr("viewtide.llm.systematic_mix._SLICE_ROWS", 7)
+    rows = [(k, "a b", "s") for k in range(40)] + [(None, f"x{k} y", "s") for k in range(30)] + [(90, "z", "t")]
+    got = mix(documents(rows)).collect()
+    assert len(got) == 71 and all(0 <= r.copies <= 3 for r in got)
+    assert abs(sum(2 * r.copies for r in got if r.source == "s") - got[0].target) <= 4
+    assert sorted(map(str, got)) == sorted(map(str, mix(documents(rows)).collect()))

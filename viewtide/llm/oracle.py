@@ -9,31 +9,30 @@ _SPACES = r"'[\x20\x09-\x0D]'"
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_systematic_mix": f"""
-            with sized as (
+            with recursive sized as (
                 select doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS})) as size from documents
             ), totals as (
                 select source, cast(sum(size) as bigint) as source_size,
                        (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
                 from sized group by source
-            ), steps as (
-                -- every count of sources that could be held at their limit, and the rate it gives
-                select t.source, t.source_size, t.weight,
-                       (select cast(sum(source_size) as double) from totals)
-                           - coalesce(sum(3.0 * h.source_size), 0) as free,
-                       (select sum(weight) from totals) - coalesce(sum(h.weight), 0) as open_weight
-                from totals t left join totals h
-                  on h.source_size * t.weight < t.source_size * h.weight
-                  or (h.source_size * t.weight = t.source_size * h.weight
-                      and h.source is distinct from t.source
-                      and (t.source is null or h.source < t.source))
-                group by all
-            ), rate as (
-                select min(free / open_weight) as rate from steps
-                where weight * (free / open_weight) < 3 * source_size
+            ), turns as (
+                -- turn by turn, sources above their limit are held at it and the rest is shared anew
+                select 0 as turn, source, source_size, weight, cast(null as double) as held from totals
+                union all
+                select turn + 1, source, source_size, weight,
+                       case when held is not null then held
+                            when weight * (rest / open_weight) > 3 * source_size then 3.0 * source_size end
+                from (
+                    select *, cast(sum(source_size) over () as double) - coalesce(sum(held) over (), 0) as rest,
+                           sum(case when held is null then weight end) over () as open_weight
+                    from turns
+                ) where turn <= (select count(*) from totals)
+            ), final as (
+                select *, cast(sum(source_size) over () as double) - coalesce(sum(held) over (), 0) as rest,
+                       sum(case when held is null then weight end) over () as open_weight
+                from turns where turn = (select count(*) from totals)
             ), targets as (
-                select source, source_size,
-                       least(cast(3 * source_size as double), coalesce(weight * rate, 3 * source_size)) as target
-                from totals, rate
+                select source, source_size, coalesce(held, weight * (rest / open_weight)) as target from final
             ), placed as (
                 select s.doc_id, s.size, t.source_size, t.target,
                        row_number() over (partition by s.source order by s.size, s.doc_id nulls last) as k,

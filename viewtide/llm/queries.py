@@ -26,7 +26,7 @@ def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = systematic_mix.mix(read(spark, sf_dir, "documents"))
+    mixed = systematic_mix.mix(read(spark, sf_dir, "documents"), columns=("doc_id",))
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken")
     )

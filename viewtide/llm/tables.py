@@ -1,7 +1,6 @@
 """Reading the input tables, and tables between the steps of an operator."""
 
 import posixpath
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +32,8 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder the cluster names; a temporary one only where none is named."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="viewtide-"))
+def reserved(df: DataFrame, prefix: str) -> None:
+    """Raise if the caller has columns under the names an operator keeps for itself."""
+    clashing = [c for c in df.columns if c.lower().startswith(prefix)]
+    if clashing:
+        raise ValueError(f"column names that begin with {prefix} are reserved: {clashing}")
