@@ -14,7 +14,7 @@ def sf():
 @pytest.fixture(scope="session")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
         connection.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     yield connection
     connection.close()

@@ -5,6 +5,23 @@ from viewtide.llm.systematic_mix import offset
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 _SPACES = r"'[\x20\x09-\x0D]'"
 
+_NEAREST = """
+            found{n} as (
+                select rn, p, arg_min(j, d * 64 + j) as j, min(d) as d
+                from (
+                    select c.rn, c.p, e.j, sum((c.x - e.x) * (c.x - e.x)) as d
+                    from component c join entry{n} e on e.p = c.p and e.k = c.k group by all
+                ) group by rn, p
+            )"""
+_MEANS = """
+            entry{m} as (
+                select e.p, e.j, e.k, coalesce(cast(floor(cast(s.total as double) / s.n) as bigint), e.x) as x
+                from entry{n} e left join (
+                    select f.p, f.j, c.k, sum(c.x) as total, count(*) as n
+                    from found{n} f join component c on c.rn = f.rn and c.p = f.p group by all
+                ) s on s.p = e.p and s.j = e.j and s.k = e.k
+            )"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -74,4 +91,24 @@ def oracle_sql() -> dict[str, str]:
             from normal
             window best as (partition by text_sha256 order by points desc, doc_id)
         """,
+        "op11_gnat_codes": f"""
+            with whole as (
+                select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as rn,
+                       list_transform(embedding, lambda v: cast(floor(256 * cast(v as double)) as bigint)) as xs
+                from embeddings
+                where embedding is not null and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+            ), component as (
+                select rn, (i - 1) // (len(xs) // 16) as p, (i - 1) % (len(xs) // 16) as k, xs[i] as x
+                from (select rn, xs, unnest(range(1, len(xs) + 1)) as i from whole)
+            ), entry0 as (select p, rn - 1 as j, k, x from component where rn <= 64),
+            {_NEAREST.format(n=0)}, {_MEANS.format(m=1, n=0)}, {_NEAREST.format(n=1)}, {_MEANS.format(m=2, n=1)},
+            {_NEAREST.format(n=2)},
+            coded as (
+                select rn, string_agg(printf('%02x', j), '' order by p) as code, cast(sum(d) as bigint) as error
+                from found2 group by rn
+            )
+            select vec_id, label, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+                   (select sha256(string_agg(cast(x as varchar), ',' order by p, j, k)) from entry2) as codebooks_sha256
+            from whole join coded using (rn)
+        """,
     }

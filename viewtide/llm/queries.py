@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import (
-    content_sort, kd_shards, lsh_forest, ordinal_quality, ppm, spaced_seeds, suffix_sort, systematic_mix, token_files, warc,
+    content_sort, gnat_codes, kd_shards, lsh_forest, ordinal_quality, ppm, site_templates, spaced_seeds, suffix_sort, systematic_mix,
+    token_files, warc, whitening,
 )
 from viewtide.llm.tables import read
 
@@ -57,6 +58,18 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.deduplicate(read(spark, sf_dir, "documents"))
 
 
+def op11_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_templates.extract(read(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ordinal_quality": op1_ordinal_quality,
@@ -69,4 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_kd_shards": op8_kd_shards,
         "op9_token_files": op9_token_files,
         "op10_content_sort": op10_content_sort,
+        "op11_gnat_codes": op11_gnat_codes,
+        "op12_site_templates": op12_site_templates,
+        "op13_whitening": op13_whitening,
     }
