@@ -25,6 +25,7 @@ def text(html):
     ("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><th>e</table><dl><dt>f<dd>g", "a b c d e f g"),
     ("<svg><text>x</text></svg><p>a</p><button>go</button><select><option>1</select>", "a"),
     ("<p>a<span class=ad>x</span>b</p></div></nav>c", "a b c"),
+    ("<article class='comment-open'><p>a</article><article class=comment>b</article>", "a"),
     ("<article><section><p>a</section></article><article><p>b</article>", "a b"),
 ])
 def test_pages(html, expected):

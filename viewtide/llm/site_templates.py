@@ -184,7 +184,9 @@ class _Reader(HTMLParser):
             self._flush()
             self._close_before(tag)
         named = dict(attributes)
-        element = _Element(tag, len(self.blocks), _is_aside(tag, named, self.articles > 0), self.begun)
+        # The first article is the page's own, whatever it is called.
+        aside = _is_aside(tag, named, self.articles > 0) and (tag != "article" or self.begun)
+        element = _Element(tag, len(self.blocks), aside, self.begun)
         element.hash.update(f"<{tag} {named.get('class')} {named.get('id')}>".encode("utf-8", "surrogatepass"))
         if element.aside and not block:
             self._flush()
