@@ -90,7 +90,9 @@ def extract(pages: DataFrame, most_own: int = MOST_OWN) -> DataFrame:
     """page_id, url, text and its number of code points."""
     read = store(parsed(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
     shared = store(templates(read, most_own), "templates")
-    held = read.filter("host is not null").select("row", "host", F.explode("elements").alias("element"))
+    # Only elements with main text in them change a page.
+    holding = F.filter("elements", lambda e: e.first < e.last)
+    held = read.filter("host is not null").select("row", "host", F.explode(holding).alias("element"))
     gone = (
         held.select("row", "host", "element", F.col("element.hash").alias("hash")).join(shared, ["host", "hash"])
         .groupBy("row").agg(F.collect_set(F.struct("element.first", "element.last")).alias("gone"))
