@@ -11,9 +11,10 @@ from viewtide import fixtures
 from viewtide.operators import transform
 from viewtide.operators.constraints import duplicates, null_counts
 from viewtide.operators.spread import CHUNK, Splits
-from viewtide.plans import checks, pipeline, reports
+from viewtide.plans import checks, incremental, pipeline, reports
 from viewtide.schemas import CONSTRAINTS, HISTORY_COLUMNS
 from viewtide.sources.csv import read_history, read_meta
+from viewtide.sources.partitions import purge, read_days, write_all_partitions
 from viewtide.sources.scratch import scratch_dir
 from viewtide.sources.stages import read_report, read_stage, write_report, write_stage
 
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = date(2024, 1, 31)
 GID = 7
 DAY = date(2024, 1, 6)
+LAST_DAY = date(2024, 1, 9)
 BIN_CAP = 1e6
 
 
@@ -67,6 +69,11 @@ def queries() -> dict[str, Query]:
         "pipeline_category_totals": pipeline_category_totals,
         "pipeline_daily_average": pipeline_daily_average,
         "pipeline_restart": pipeline_restart,
+        "incremental_denorm": lambda spark, sf_dir: incremental_table(spark, sf_dir, "denorm"),
+        "incremental_latest": lambda spark, sf_dir: incremental_table(spark, sf_dir, "latest", at_once=True),
+        "incremental_daily": lambda spark, sf_dir: incremental_table(spark, sf_dir, "daily", at_once=True),
+        "days_read": days_read,
+        "days_purged": days_purged,
     }
 
 
@@ -222,3 +229,55 @@ def pipeline_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _run_pipeline(spark, sf_dir)
     pipeline.run(spark, None, out, AS_OF, from_stage="pre_agg")
     return _pipeline_report(spark, out, "hourly_totals")
+
+
+def increments(spark: SparkSession, sf_dir: str) -> tuple[tuple[DataFrame, DataFrame], ...]:
+    """(meta, history) as they would come in three parts.
+
+    The second brings the days from the 20th on, videos unknown before and videos with
+    corrected attributes; the third the days from the 25th on, observations of all days
+    that come late, and corrected readings.
+    """
+    inputs = Inputs(spark, sf_dir)
+    day, hour = F.dayofmonth("updated_at"), F.hour("updated_at")
+    late = (F.col("gid") % 4 == 1) & (hour == 7)
+    wrong = (F.col("gid") % 7 == 2) & (hour == 11)
+    on_time = inputs.history.filter(~late).withColumn("views", F.when(wrong, F.col("views") + 5000).otherwise(F.col("views")))
+    meta = inputs.meta
+    first_meta = meta.filter("gid % 10 <> 9").withColumn(
+        "duration", F.when(F.col("gid") % 11 == 0, 1).otherwise(F.col("duration")).cast("bigint")
+    )
+    return (
+        (first_meta, on_time.filter(day < 20)),
+        (meta, on_time.filter((day >= 20) & (day < 25))),
+        (meta, inputs.history.filter(late | wrong | (day >= 25))),
+    )
+
+
+def incremental_table(spark: SparkSession, sf_dir: str, name: str, at_once: bool = False) -> DataFrame:
+    """A table of a first load and two merged increments, or both of them merged at once."""
+    out = scratch_dir(spark)
+    (meta, history), *more = increments(spark, sf_dir)
+    if at_once:
+        (_, second), (last_meta, third) = more
+        more = [(last_meta, third.unionByName(second.join(third, ["gid", "updated_at"], "left_anti")))]
+    incremental.start(spark, out, meta, history)
+    for meta, history in more:
+        incremental.merge(spark, out, history, meta)
+    rows = read_stage(spark, out, name)
+    return rows.drop(incremental.PART, *[c for c in rows.columns if c.endswith("_step")])
+
+
+def days_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily increments of a few days, from a table cut by day."""
+    directory = scratch_dir(spark)
+    write_all_partitions(Inputs(spark, sf_dir).daily(), directory, "daily", sort_by=("gid",))
+    return read_days(spark, directory, "daily", DAY, LAST_DAY)
+
+
+def days_purged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept observations that are left after older days were moved into an archive."""
+    directory = scratch_dir(spark)
+    write_all_partitions(Inputs(spark, sf_dir).denorm().drop(CHUNK), directory, "denorm", sort_by=("gid", "updated_at"))
+    purge(spark, directory, "denorm", LAST_DAY, archive=posixpath.join(directory, "archive"))
+    return read_stage(spark, directory, "denorm")

@@ -65,12 +65,12 @@ def run(
     def checks(name: str, *tables: str) -> None:
         if check:
             phase(f"{name}_checks", {f"check_{t}": partial(_check, spark, out, t) for t in tables})
-        _mark(spark, out, name, CHECKED if check else UNCHECKED)
+        mark(spark, out, name, CHECKED if check else UNCHECKED)
 
     written = [s for s in ("load", "denorm", "pre_agg") if s in stages]
     for stage in ("load", "denorm", "pre_agg"):
         if stage in written:
-            _mark(spark, out, stage, STARTED)
+            mark(spark, out, stage, STARTED)
         elif check and (state := marker(spark, out, stage)) != CHECKED:
             raise UncheckedStage(f"{stage}: {state or 'no marker'}; run it again, or start with check=False")
 
@@ -108,7 +108,7 @@ def _together(jobs: dict[str, Callable[[], None]], seconds: dict[str, float]) ->
             done.result()
 
 
-def _mark(spark: SparkSession, out: str, stage: str, state: str) -> None:
+def mark(spark: SparkSession, out: str, stage: str, state: str) -> None:
     marked = spark.createDataFrame([(state,)], "state string")
     write_stage(marked.coalesce(1), stage_path(out, MARKERS), stage)
 
