@@ -1,0 +1,151 @@
+"""Quantiles, trends, correlations, the hour table and provider ids."""
+
+import random
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from viewtide.functions.expressions import provider_id, video_id
+from viewtide.operators.constraints import ConstraintViolation
+from viewtide.operators.quantiles import quantiles
+from viewtide.plans import pipeline, reports
+from viewtide.plans.trends import trending
+from viewtide.sources.stages import read_stage, write_stage
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["small", "wide", "extreme", "equal"])
+def test_quantiles(spark, kind):
+    rnd = random.Random(kind)
+    value = {
+        "small": lambda: rnd.randrange(-20, 20), "wide": lambda: int(10 ** rnd.uniform(0, 15)),
+        "extreme": lambda: rnd.choice([-(1 << 63), (1 << 63) - 1, 0, 1, rnd.randrange(1 << 62)]), "equal": lambda: 7,
+    }[kind]
+    rows = [(g, value() if rnd.random() < 0.9 else None) for g, n in (("a", 3000), ("b", 1), (None, 50), ("c", 2)) for _ in range(n)]
+    rows += [("empty", None)]
+    got = {r.g: r for r in quantiles(spark.createDataFrame(rows, "g string, v long"), "g", "v").collect()}
+    values = {}
+    for g, v in rows:
+        if v is not None:
+            values.setdefault(g, []).append(v)
+    assert got.keys() == values.keys()
+    for g, mine in values.items():
+        mine.sort()
+        r = got[g]
+        assert (r.count_v, r.min_v, r.max_v) == (len(mine), mine[0], mine[-1])
+        if kind != "extreme":
+            for p in (50, 80, 90, 95):
+                assert r[f"p{p}_v"] == pytest.approx(np.quantile(mine, p / 100), rel=1e-12)
+        elif len(mine) % 2:
+            assert r.p50_v == float(mine[len(mine) // 2])
+
+
+def test_a_group_with_all_rows_is_spread(spark, tmp_path):
+    """What is shuffled is one count per task and bin, never the rows of a group."""
+    from viewtide.operators import quantiles as module
+    write_stage(spark.range(0, 200_000, 1, 8).selectExpr("id % 1 as g", "id * 7919 % 1000003 as v"), str(tmp_path), "rows")
+    rows = read_stage(spark, str(tmp_path), "rows")
+    ranks = spark.createDataFrame([(0, 100_000, 0, 1_000_002, 0)], "g long, rank long, low long, high long, below long")
+    lines = plan_of(module._narrowed(rows, ranks, True)).splitlines()
+    place = lambda text: next(k for k, line in enumerate(lines) if text in line)
+    between = lines[place("partial_count(1)"):place("Scan") if place("Scan") > place("partial_count(1)") else None]
+    assert "BroadcastHashJoin" in between[2] and "BuildRight" in between[2]
+    assert not any("Exchange hashpartitioning(g" in line for line in lines)
+    expected = np.quantile(np.arange(200_000) * 7919 % 1000003, 0.5)
+    assert module.quantiles(rows, "g", "v").first().p50_v == pytest.approx(expected)
+
+
+def test_many_groups(spark, monkeypatch):
+    monkeypatch.setattr("viewtide.operators.quantiles.FEW_GROUPS", 3)
+    df = spark.range(2000).selectExpr("id % 50 as g", "id * 7919 % 1009 as v")
+    values = np.arange(2000) * 7919 % 1009
+    got = {r.g: r.p90_v for r in quantiles(df, "g", "v").collect()}
+    assert got == pytest.approx({g: float(np.quantile(values[g::50], 0.9)) for g in range(50)})
+
+
+def test_no_values(spark):
+    assert quantiles(spark.createDataFrame([], "g string, v long"), "g", "v").collect() == []
+    assert quantiles(spark.createDataFrame([("a", None)], "g string, v long"), "g", "v").collect() == []
+
+
+KEPT = "gid string, user_id string, category_id int, views_diff long, updated_at timestamp"
+NOW = datetime(2024, 1, 10, 12)
+
+
+def test_trending(spark):
+    ago = lambda hours: NOW - timedelta(hours=hours)
+    rows = [("a", "u", 1, 5, ago(0.5)), ("b", "u", 1, 5, ago(0)), ("c", "w", 1, 9, ago(1)), ("c", "w", 1, 1, ago(30)),
+            ("d", "w", 2, 3, ago(167)), ("e", "w", 2, 8, ago(168)), ("f", "w", 1, 99, ago(-1))]
+    got = trending(spark.createDataFrame(rows, KEPT), NOW, k=2)
+    assert {(r.window, r.category_id, r.place, r.gid, r.views_increase) for r in got.collect()} == {
+        ("hour", 1, 1, "a", 5), ("hour", 1, 2, "b", 5), ("day", 1, 1, "c", 9), ("day", 1, 2, "a", 5),
+        ("week", 1, 1, "c", 10), ("week", 1, 2, "a", 5), ("week", 2, 1, "d", 3)}
+    users = trending(spark.createDataFrame(rows, KEPT), NOW, k=1, by="user_id", hours={"day": 24})
+    assert [(r.category_id, r.user_id, r.views_increase) for r in users.collect()] == [(1, "u", 10)]
+
+
+def test_trends_are_cut_before_the_shuffle(spark, tmp_path):
+    write_stage(spark.createDataFrame([("a", "u", 1, 5, NOW)], KEPT), str(tmp_path), "denorm")
+    plan = plan_of(trending(read_stage(spark, str(tmp_path), "denorm"), NOW))
+    limits = [k for k, line in enumerate(plan.splitlines()) if "WindowGroupLimit" in line]
+    exchanges = [k for k, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning(window" in line]
+    assert len(limits) == 2 and limits[0] < exchanges[0] < limits[1] < exchanges[1]
+    assert "PushedFilters: [IsNotNull(updated_at), GreaterThan(updated_at" in plan
+
+
+def test_correlation_leaves_missing_pairs_out(spark):
+    rows = [(1, 1, 2, None, 5), (1, 2, 4, 1, 5), (1, 3, 7, 2, 5), (1, None, 100, 9, 5), (2, 1, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "category_id int, views long, likes long, dislikes long, comments long")
+    got = {(r.category_id, r.fact, r.other_fact): (r.count_videos, r.correlation) for r in reports.fact_correlation(df).collect()}
+    assert got[1, "views", "likes"] == (3, round(float(np.corrcoef([1, 2, 3], [2, 4, 7])[0, 1]), 6))
+    assert got[1, "views", "dislikes"] == (2, 1.0) and got[1, "likes", "comments"] == (4, None)
+    assert len(got) == 12 and all(v == (1, None) for k, v in got.items() if k[0] == 2)
+
+
+def test_hourly_report_does_not_read_the_observations(spark, tmp_path):
+    out = str(tmp_path)
+    write_inputs(spark, out, [("YT:a", k, datetime(2024, 1, 24) + timedelta(hours=6 * k)) for k in range(1, 30)] + [
+        ("YT:b", 5, datetime(2024, 1, 24))])
+    seconds = pipeline.run(spark, {t: f"{out}/{t}.csv" for t in ("meta", "history")}, out, datetime(2024, 1, 31).date())
+    report = pipeline.build_reports(spark, out, datetime(2024, 1, 31).date())["hourly_totals"]
+    assert all("/hours/" in f for f in report.inputFiles())
+    expected = reports.hourly_totals(read_stage(spark, out, "denorm"), datetime(2024, 1, 31).date())
+    assert report.collect() == expected.collect()
+    # The observations themselves were checked while they were written.
+    assert seconds["check_denorm"] < 0.05
+
+
+def write_inputs(spark, out, rows):
+    meta = spark.createDataFrame([("YT:a,u,10,2024-01-01 00:00:00,5",), ("YT:b,u,20,2024-01-01 00:00:00,5",)], "line string")
+    meta.write.text(f"{out}/meta.csv")
+    history = spark.createDataFrame([(f"{g},{v},{v},1,,{t}",) for g, v, t in rows], "line string")
+    history.write.text(f"{out}/history.csv")
+
+
+@pytest.mark.parametrize("rows_per_chunk", [4_000_000, 3])
+def test_repeated_keys_are_seen_in_the_window(spark, tmp_path, rows_per_chunk):
+    """Twice the same time, both kept: found from neighbours when the load was not checked, too."""
+    out, at = str(tmp_path), datetime(2024, 1, 3)
+    rows = [("YT:a", k, at + timedelta(hours=k)) for k in range(1, 12)]
+    write_inputs(spark, out, rows)
+    src = {t: f"{out}/{t}.csv" for t in ("meta", "history")}
+    pipeline.run(spark, src, out, at.date(), check=False)
+    assert pipeline.write_denorm(spark, out, rows_per_chunk) is True
+    again = spark.createDataFrame([("YT:a", 50, 1, 1, 1, rows[-1][2])], read_stage(spark, out, "history").schema)
+    again.write.mode("append").parquet(f"{out}/history")
+    assert pipeline.write_denorm(spark, out, rows_per_chunk) is False
+    with pytest.raises(ConstraintViolation):
+        pipeline._check(spark, out, "denorm")
+
+
+def test_provider_and_video(spark):
+    rows = ["YT:abc", "VM:a:b", "abc", ":x", "YT:", "", None, "a b:c"]
+    df = spark.createDataFrame([(g,) for g in rows], "gid string")
+    got = df.select(provider_id("gid"), video_id("gid")).collect()
+    assert [tuple(r) for r in got] == [("YT", "abc"), ("VM", "a:b"), *[(None, None)] * 6]
+    assert df.filter(F.col("gid") == "YT:abc").count() == 1

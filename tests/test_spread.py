@@ -152,3 +152,34 @@ def test_stages_are_the_same_with_and_without_splits(skewed, meta, rows_per_chun
         assert rows(a) == rows(b)
     assert rows(plain[1]) == rows(plain[2])
     assert rows(plain[4]) == rows(plain[5])
+
+
+def test_the_chunk_is_the_number_of_cuts_up_to_the_row(spark):
+    """Cuts that crowd in places, and rows before, between, on and behind them."""
+    from bisect import bisect_right
+
+    from viewtide.operators import spread as module
+    rnd, begin = random.Random(6), datetime(2024, 1, 1)
+    cuts = sorted({begin + timedelta(seconds=int(3 ** rnd.uniform(0, 14))) for _ in range(300)})
+    table = spark.createDataFrame([("hot", cuts)], "gid string, _cuts array<timestamp>")
+    splits = module._with_slots("gid", "updated_at", table, table.schema["_cuts"].dataType.elementType)
+    times = [*cuts, *(begin + timedelta(seconds=rnd.randrange(-9, 5_000_000)) for _ in range(500))]
+    rows = spark.createDataFrame([(g, t) for t in times for g in ("hot", "cold", None)], "gid string, updated_at timestamp")
+    got = module.spread(rows, splits).collect()
+    assert len(got) == 3 * len(times)
+    assert all(r[CHUNK] == (bisect_right(cuts, r.updated_at) if r.gid == "hot" else -1) for r in got)
+    most = splits.slots.agg(F.max(F.size("_near"))).first()[0]
+    assert splits.slots.count() <= len(cuts) + 1 and most < len(cuts)
+
+
+def test_splits_are_found_inside(spark, monkeypatch):
+    """The default call on a frame with a hot video works on it in several tasks."""
+    from viewtide.operators import spread as module
+    from viewtide.plans import checks
+    monkeypatch.setattr(module.find_splits, "__defaults__", ("gid", "updated_at", 25, module.MAX_CHUNKS))
+    rows = spark.range(100).selectExpr(
+        "'hot' as gid", "1 as category_id", *[f"id * 2 as {f}" for f in FACTS], "timestamp_seconds(id * 60) as updated_at"
+    )
+    plan = transform.with_steps(module.spread(rows, module.found_splits(rows, module.FIND)))
+    assert plan.select(CHUNK).distinct().count() >= 4
+    assert checks.changed_row_count(rows).first().row_count == 99

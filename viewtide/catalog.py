@@ -2,7 +2,7 @@
 
 import posixpath
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from viewtide import fixtures
 from viewtide.operators import transform
 from viewtide.operators.constraints import duplicates, null_counts
+from viewtide.operators.day_edges import daily_with_edges, with_day_edges
+from viewtide.operators.quantiles import quantiles as group_quantiles
 from viewtide.operators.spread import CHUNK, Splits
-from viewtide.plans import checks, incremental, pipeline, reports
+from viewtide.plans import checks, incremental, pipeline, reports, trends
 from viewtide.schemas import CONSTRAINTS, HISTORY_COLUMNS
 from viewtide.sources.csv import read_history, read_meta
 from viewtide.sources.partitions import purge, read_days, write_all_partitions
@@ -25,6 +27,7 @@ GID = 7
 DAY = date(2024, 1, 6)
 LAST_DAY = date(2024, 1, 9)
 BIN_CAP = 1e6
+MOMENT = datetime(2024, 1, 30, 12)
 
 
 class Inputs:
@@ -48,7 +51,7 @@ class Inputs:
         return transform.latest(self.denorm())
 
     def daily(self) -> DataFrame:
-        return transform.daily(self.denorm())
+        return transform.daily(self.denorm(), splits=None)
 
     def orphaned(self) -> DataFrame:
         """The history, with about every tenth observation under an id no video has."""
@@ -63,6 +66,8 @@ def queries() -> dict[str, Query]:
         "load_meta": load_meta,
         "load_history": load_history,
         "load_rejects": load_rejects,
+        "load_providers": load_providers,
+        "load_provider_rejects": load_provider_rejects,
         "stage_roundtrip": stage_roundtrip,
         "stage_layout": stage_layout,
         "report_csv": report_csv,
@@ -84,6 +89,11 @@ def _with_repeats(df: DataFrame, column: str) -> DataFrame:
     ))).drop("again")
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    """Quantiles to six digits, as the last bits depend on the order of two products."""
+    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith("p")})
+
+
 _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # Transforms
     "denorm_join": lambda i: i.joined(),
@@ -100,6 +110,17 @@ _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "report_like_bins": lambda i: reports.like_bins(i.latest()),
     "report_hourly_totals": lambda i: reports.hourly_totals(i.denorm(), AS_OF),
     "report_hourly_increments": lambda i: reports.hourly_totals(i.denorm(), AS_OF, measure="increment"),
+    "report_hourly_totals_of_hours": lambda i: reports.hourly_totals_of(reports.hour_table(i.denorm()), AS_OF),
+    "report_hourly_increments_of_hours": lambda i: reports.hourly_totals_of(
+        reports.hour_table(i.denorm()), AS_OF, measure="increment"
+    ),
+    "report_trending_videos": lambda i: trends.trending(i.denorm(), MOMENT, k=5),
+    "report_trending_users": lambda i: trends.trending(i.denorm(), MOMENT, k=3, by="user_id", fact="likes"),
+    "report_view_quantiles": lambda i: _rounded(group_quantiles(i.latest(), "category_id", "views")),
+    "report_comment_quantiles": lambda i: _rounded(group_quantiles(i.latest(), "category_id", "comments")),
+    "report_fact_correlation": lambda i: reports.fact_correlation(i.latest()),
+    "day_edges": lambda i: with_day_edges(i.history.drop(CHUNK), i.splits),
+    "daily_with_edges": lambda i: daily_with_edges(i.history.drop(CHUNK), i.splits),
     # Checks
     "check_meta_without_history": lambda i: checks.meta_without_history(i.meta, i.history),
     "check_meta_without_history_first": lambda i: checks.meta_without_history(i.meta, i.history, limit=10),
@@ -115,8 +136,8 @@ _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "check_updated_days": lambda i: checks.updated_days(i.denorm()),
     "check_updates_per_video": lambda i: checks.updates_per_video(i.denorm(), limit=10),
     "check_row_count": lambda i: checks.row_count(i.denorm()),
-    "check_changed_row_count": lambda i: checks.changed_row_count(i.denorm()),
-    "check_changed_row_count_unfiltered": lambda i: checks.changed_row_count(i.joined()),
+    "check_changed_row_count": lambda i: checks.changed_row_count(i.denorm(), splits=None),
+    "check_changed_row_count_unfiltered": lambda i: checks.changed_row_count(i.joined(), splits=None),
     "video_history": lambda i: checks.video_history(i.denorm(), GID),
     "video_day_history": lambda i: checks.video_day_history(i.denorm(), GID, DAY),
     "check_pk_duplicates": lambda i: duplicates(i.denorm(), CONSTRAINTS["daily"].key),
@@ -142,7 +163,7 @@ _BY_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
 # The same queries with every video cut into chunks, which normally only a video far
 # larger than those of the test tables would be.
 _FORCED = 40
-_SPLIT = ("denorm_join", "change_diffs", "change_only_rows", "latest_per_video", "daily_increments")
+_SPLIT = ("denorm_join", "change_diffs", "change_only_rows", "latest_per_video", "daily_increments", "day_edges", "daily_with_edges")
 
 
 def _on_inputs(build: Callable[[Inputs], DataFrame], **limits: int) -> Query:
@@ -179,6 +200,22 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected
 
 
+def _load_providers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    path = _write_lines(fixtures.csv_history_of_providers(spark, sf_dir), scratch_dir(spark), "history")
+    return read_history(spark, path, providers=True)
+
+
+def load_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations per provider and video id."""
+    good, _ = _load_providers(spark, sf_dir)
+    return transform.with_provider(good).groupBy("provider_id", "video_id").agg(F.count("*").alias("rows"))
+
+
+def load_provider_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = _load_providers(spark, sf_dir)
+    return rejected
+
+
 def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     directory = scratch_dir(spark)
     write_stage(Inputs(spark, sf_dir).daily(), directory, "daily", sort_by=CONSTRAINTS["daily"].key)

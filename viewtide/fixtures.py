@@ -138,6 +138,18 @@ def csv_history_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir).select(line.alias("line"))
 
 
+def csv_history_of_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the history file from three providers; every sixth id names none, or nothing else."""
+    gid, kind = F.lpad(F.col("gid").cast("string"), 6, "0"), F.col("event_id") % 6
+    named = (
+        F.when(kind < 2, F.concat(F.lit("YT:"), gid)).when(kind == 2, F.concat(F.lit("VM:a:"), gid))
+        .when(kind < 5, F.concat(F.lit("D:"), gid))
+        .otherwise(F.when(F.col("event_id") % 4 == 1, gid).otherwise(F.when(F.col("event_id") % 8 == 3, F.lit("YT:")).otherwise(F.concat(F.lit(":"), gid))))
+    )
+    fields = [named, *[F.lit("1")] * len(FACTS), F.date_format("updated_at", _CSV_TIME)]
+    return observations(spark, sf_dir).select(F.concat_ws(",", *fields).alias("line"))
+
+
 def _copied(df: DataFrame, copies: int) -> DataFrame:
     """Each video this many times, under ids of their own."""
     if copies == 1:

@@ -29,3 +29,17 @@ def decade_bin(column: str, floor: float = 1000.0, cap: float | None = None) ->
     if cap is not None:
         bin_ = F.least(bin_, F.lit(cap))
     return F.when(value <= floor, F.lit(floor)).otherwise(bin_)
+
+
+# A provider's short name, a colon, and the id that the provider gives the video.
+PROVIDED = r"^[^:\s]+:.+$"
+
+
+def provider_id(gid: str) -> Column:
+    """The part of the id before the first colon; missing if it names no provider."""
+    return F.when(F.col(gid).rlike(PROVIDED), F.substring_index(gid, ":", 1))
+
+
+def video_id(gid: str) -> Column:
+    """The part of the id behind the first colon, further ones included."""
+    return F.when(F.col(gid).rlike(PROVIDED), F.expr(f"substring(`{gid}`, instr(`{gid}`, ':') + 1)"))

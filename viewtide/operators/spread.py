@@ -8,20 +8,28 @@ use (key, CHUNK) in place of the key alone, and what must cross a chunk border i
 over through a table with one row per chunk (see `ordered`).
 """
 
+import logging
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, StructType, TimestampNTZType, TimestampType
+
+log = logging.getLogger(__name__)
 
 CHUNK = "_chunk"
 WHOLE = -1
+FIND = "find"
 
 ROWS_PER_CHUNK = 4_000_000
 # Bounds every table this module collects or broadcasts, whatever the size of the data.
 MAX_CHUNKS = 100_000
 
 _CUTS = "_cuts"
+_LOW, _WIDTH, _LAST = "_low", "_width", "_last"
+_SLOT, _BASE, _NEAR = "_slot", "_base", "_near"
 _SAMPLED = 400
 _FANOUT = 256
 _ROUNDS = 4
@@ -29,12 +37,19 @@ _ROUNDS = 4
 
 @dataclass(frozen=True)
 class Splits:
-    """Ascending cut points of each split key: a table (key, _cuts)."""
+    """Ascending cut points of each split key: a table (key, _cuts).
+
+    A row finds its chunk in two steps of equal cost for any number of cuts: its key's
+    stretch of time is divided into as many slots as there are cuts (`spans`), and (key,
+    slot) leads to the number of cuts before the slot and to the few inside it (`slots`).
+    """
 
     key: str
     order: str
     table: DataFrame
     longest: int
+    spans: DataFrame
+    slots: DataFrame
 
 
 def find_splits(
@@ -69,19 +84,36 @@ def find_splits(
         )
         refined = None if oversized.isEmpty() else _refine(pieces, oversized, splits, key, order, limit)
         if refined is None:
+            if not oversized.isEmpty():
+                log.warning("%d chunks keep more than %d rows, all of one %s", oversized.count(), limit, order)
             break
         splits = refined
     return splits
 
 
+def found_splits(df: DataFrame, splits: Splits | None | str) -> Splits | None:
+    """The splits given, or with FIND those of a frame whose rows are not spread yet."""
+    if isinstance(splits, str):
+        return None if CHUNK in df.columns else find_splits(df)
+    return splits
+
+
 def spread(df: DataFrame, splits: Splits | None) -> DataFrame:
     """Add CHUNK to rows that carry the splits' key and order columns."""
     if splits is None:
         return df
+    place = _place(F.col(splits.order), df.schema[splits.order].dataType)
+    slot = F.greatest(F.lit(-1), F.least(F.col(_LAST), F.floor((place - F.col(_LOW)) / F.col(_WIDTH)))).cast("bigint")
+    inside = F.size(F.filter(_NEAR, lambda cut: cut <= place))
+    # Never NULL, and declared so: otherwise joins on CHUNK test for it by searching again.
+    chunk = F.when(F.col(_LOW).isNull(), F.lit(WHOLE)).otherwise(
+        F.coalesce((F.col(_BASE) + inside).cast("int"), F.lit(0))
+    )
     return (
-        df.join(F.broadcast(splits.table), splits.key, "left")
-        .withColumn(CHUNK, _chunk_of(splits))
-        .drop(_CUTS)
+        df.join(F.broadcast(splits.spans), splits.key, "left")
+        .withColumn(_SLOT, slot)
+        .join(F.broadcast(splits.slots), [splits.key, _SLOT], "left")
+        .select(*[df[c] if c != splits.key else F.col(c) for c in df.columns], chunk.alias(CHUNK))
     )
 
 
@@ -104,18 +136,40 @@ def spread_keys(df: DataFrame, *keys: str) -> list[str]:
     return [*keys, CHUNK] if CHUNK in df.columns else list(keys)
 
 
-def _chunk_of(splits: Splits) -> Column:
-    """Number of cut points at or before the row, by binary search."""
-    steps = [1 << bit for bit in reversed(range(splits.longest.bit_length()))]
-    found = F.aggregate(
-        F.array(*map(F.lit, steps)),
-        F.lit(0),
-        lambda at, step: F.when(
-            F.get(F.col(_CUTS), at + step - 1) <= F.col(splits.order), at + step
-        ).otherwise(at),
+def _place(value: Column, kind: DataType) -> Column:
+    """The order column as a whole number: microseconds for times."""
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp"))
+    if isinstance(kind, IntegralType):
+        return value.cast("bigint")
+    raise ValueError(f"rows can be cut along times and whole numbers, not {kind.simpleString()}")
+
+
+def _with_slots(key: str, order: str, table: DataFrame, kind: DataType) -> Splits:
+    """The two lookup tables, of one row per key and one per slot, from the bounded table of cuts."""
+    places = table.select(key, F.transform(_CUTS, lambda cut: _place(cut, kind)).alias(_CUTS)).collect()
+    spans, slots = [], []
+    for found, cuts in places:
+        width = max(1, -(-(cuts[-1] - cuts[0] + 1) // len(cuts)))
+        last = (cuts[-1] - cuts[0]) // width
+        spans.append((found, cuts[0], width, last))
+        at = 0
+        for slot in range(last + 1):
+            end = bisect_left(cuts, cuts[0] + (slot + 1) * width, at)
+            slots.append((found, slot, at, cuts[at:end]))
+            at = end
+    name = f"`{key}` {dict(table.dtypes)[key]}"
+
+    def pinned(rows: list[tuple], columns: str) -> DataFrame:
+        schema = StructType.fromDDL(f"{name}, {columns}")
+        values = [pa.array(v) for v in zip(*rows)]
+        return table.sparkSession.createDataFrame(pa.Table.from_arrays(values, schema.names), schema)
+
+    return Splits(
+        key, order, table, max(len(cuts) for _, cuts in places),
+        pinned(spans, f"{_LOW} bigint, {_WIDTH} bigint, {_LAST} bigint"),
+        pinned(slots, f"{_SLOT} bigint, {_BASE} bigint, {_NEAR} array<bigint>"),
     )
-    # Never NULL, and declared so: otherwise joins on CHUNK test for it by searching again.
-    return F.when(F.col(_CUTS).isNull(), F.lit(WHOLE)).otherwise(F.coalesce(found, F.lit(0)))
 
 
 def _candidates(df: DataFrame, key: str, limit: int) -> DataFrame:
@@ -164,8 +218,7 @@ def _refine(
         found = found.union(splits.table)
     merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list(_CUTS))))
     table = _local(found.groupBy(key).agg(merged.alias(_CUTS)))
-    longest = table.agg(F.max(F.size(_CUTS))).first()[0]
-    return Splits(key, order, table, longest)
+    return _with_slots(key, order, table, pieces.schema[order].dataType)
 
 
 def _local(bounded: DataFrame) -> DataFrame:

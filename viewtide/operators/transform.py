@@ -6,9 +6,9 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.functions.expressions import day_of, hour_of, increase
+from viewtide.functions.expressions import day_of, hour_of, increase, provider_id, video_id
 from viewtide.operators.ordered import with_previous
-from viewtide.operators.spread import Splits, replicate, spread, spread_keys
+from viewtide.operators.spread import FIND, Splits, found_splits, replicate, spread, spread_keys
 from viewtide.schemas import (
     ATTRIBUTES,
     DAILY_COLUMNS,
@@ -21,6 +21,9 @@ from viewtide.schemas import (
     step,
 )
 
+# Whether a kept observation has the time of the one before it, which a key forbids.
+REPEATED = "_repeated"
+
 
 def denormalize(meta: DataFrame, history: DataFrame, splits: Splits | None = None) -> DataFrame:
     """Add the video's attributes and the day to each observation.
@@ -79,14 +82,18 @@ def with_steps(
     facts: tuple[str, ...] = FACTS,
     keys: tuple[str, ...] = VIDEO,
     order: str = "updated_at",
+    repeats: bool = False,
 ) -> DataFrame:
     """Add each fact's change since the video's previous *kept* observation.
 
     This differs from the diffs wherever the row before was dropped, and it is what the
     daily increments add up. Taken right after `changed_only` it needs no further shuffle.
+    With `repeats` the same window also tells, as REPEATED, where a row repeats the key of
+    the one before it; rows that share a key are neighbours there.
     """
-    frame, previous = with_previous(df, facts, keys, order)
-    return frame.select(*df.columns, *[increase(F.col(f), previous[f]).alias(step(f)) for f in facts])
+    frame, previous = with_previous(df, (*facts, order) if repeats else facts, keys, order)
+    repeated = [F.coalesce(previous[order] == F.col(order), F.lit(False)).alias(REPEATED)] if repeats else []
+    return frame.select(*df.columns, *[increase(F.col(f), previous[f]).alias(step(f)) for f in facts], *repeated)
 
 
 def denorm(
@@ -95,8 +102,10 @@ def denorm(
     splits: Splits | None = None,
     mode: str = "increase",
     steps: bool = False,
+    repeats: bool = False,
 ) -> DataFrame:
-    """The denormalized table of kept observations with diffs and, on request, steps.
+    """The denormalized table of kept observations with diffs and, on request, steps
+    and, with those, REPEATED.
 
     Equal to joining first, but the windows run on the narrow observations and only kept
     rows are joined. All of it shares one shuffle and one sort of the observations, as a
@@ -106,8 +115,8 @@ def denorm(
     kept = changed_only(with_diffs(spread(history, splits), keys=by_video), mode)
     columns = DENORM_COLUMNS
     if steps:
-        kept = with_steps(kept, keys=by_video)
-        columns = (*columns, *map(step, FACTS))
+        kept = with_steps(kept, keys=by_video, repeats=repeats)
+        columns = (*columns, *map(step, FACTS), *([REPEATED] if repeats else []))
     return with_attributes(kept, meta, splits, columns)
 
 
@@ -128,9 +137,13 @@ def latest(df: DataFrame) -> DataFrame:
     )
 
 
-def daily(df: DataFrame, splits: Splits | None = None) -> DataFrame:
-    """Increments of each video per day on which it has a kept observation."""
-    return daily_from_steps(with_steps(spread(df, splits)))
+def daily(df: DataFrame, splits: Splits | None | str = FIND) -> DataFrame:
+    """Increments of each video per day on which it has a kept observation.
+
+    Very frequent videos are found first, which for a stored table costs little; pass None
+    for a frame without any that is costly to compute.
+    """
+    return daily_from_steps(with_steps(spread(df, found_splits(df, splits))))
 
 
 def daily_from_steps(df: DataFrame) -> DataFrame:
@@ -140,3 +153,8 @@ def daily_from_steps(df: DataFrame) -> DataFrame:
         .agg(*[F.sum(step(f)).alias(f) for f in FACTS])
         .select(*DAILY_COLUMNS)
     )
+
+
+def with_provider(df: DataFrame) -> DataFrame:
+    """Add provider_id and video_id, the two parts of gid."""
+    return df.withColumns({"provider_id": provider_id("gid"), "video_id": video_id("gid")})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide.functions.expressions import day_of
-from viewtide.operators.spread import Splits, replicate, spread, spread_keys
+from viewtide.operators.spread import FIND, Splits, found_splits, replicate, spread, spread_keys
 from viewtide.operators.transform import changed_only, with_diffs
 from viewtide.schemas import FACTS, HISTORY_COLUMNS, VIDEO
 
@@ -81,7 +81,10 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
-def changed_row_count(df: DataFrame, mode: str = "increase", splits: Splits | None = None) -> DataFrame:
-    """How many rows the change filter would keep of a denormalized table."""
-    totals = spread(df.select(*spread_keys(df, *VIDEO), *FACTS, "updated_at"), splits)
+def changed_row_count(df: DataFrame, mode: str = "increase", splits: Splits | None | str = FIND) -> DataFrame:
+    """How many rows the change filter would keep of a denormalized table.
+
+    As in `daily`, very frequent videos are found first.
+    """
+    totals = spread(df.select(*spread_keys(df, *VIDEO), *FACTS, "updated_at"), found_splits(df, splits))
     return row_count(changed_only(with_diffs(totals), mode))

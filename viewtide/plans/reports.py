@@ -1,6 +1,7 @@
 """The five reports. Each groups by few keys, so rows are reduced before the shuffle."""
 
 from datetime import date
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,3 +62,56 @@ def hourly_totals(denorm: DataFrame, as_of: date, days: int = 7, measure: str =
         .agg(*(_totals() if measure == "total" else _totals(diff)))
         .orderBy(F.desc("total_views"), "category_id", "hour")
     )
+
+
+def hour_table(denorm: DataFrame) -> DataFrame:
+    """Totals and increments by category, day and hour, those of exactly midnight apart.
+
+    A few rows per day, from which the hourly report of any days can be had: its bound is a
+    midnight, and only what lies exactly there is neither before nor after it.
+    """
+    midnight = F.col("updated_at") == F.col("day_updated_at").cast(denorm.schema["updated_at"].dataType)
+    return denorm.groupBy("category_id", "day_updated_at", "hour", midnight.alias("midnight")).agg(
+        *[F.sum(f).alias(f) for f in FACTS], *[F.sum(diff(f)).alias(diff(f)) for f in FACTS]
+    )
+
+
+def hourly_totals_of(hours: DataFrame, as_of: date, days: int = 7, measure: str = "total") -> DataFrame:
+    """`hourly_totals` from the hour table."""
+    if measure not in ("total", "increment"):
+        raise ValueError(f"measure must be 'total' or 'increment', not {measure!r}")
+    since = F.date_sub(F.lit(as_of), int(days))
+    later = (F.col("day_updated_at") > since) | ((F.col("day_updated_at") == since) & ~F.col("midnight"))
+    return (
+        hours.filter(later)
+        .groupBy("category_id", "hour")
+        .agg(*(_totals() if measure == "total" else _totals(diff)))
+        .orderBy(F.desc("total_views"), "category_id", "hour")
+    )
+
+
+def fact_correlation(latest: DataFrame, facts: tuple[str, ...] = FACTS) -> DataFrame:
+    """Pearson's correlation of each two facts over the videos of a category.
+
+    Videos without a value of either fact are left out of that pair. Spark merges means and
+    co-moments of the tasks, one row per category. Without variance it is missing.
+    """
+    pairs = list(combinations(facts, 2))
+
+    def correlation(a: str, b: str) -> Column:
+        """What `corr` is, but missing where that would divide by zero."""
+        spread = [F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(fact))) for fact, other in ((a, b), (b, a))]
+        return F.try_divide(F.covar_pop(a, b), spread[0] * spread[1])
+
+    both = lambda a, b: F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull())
+    found = latest.groupBy("category_id").agg(*[
+        column for a, b in pairs
+        for column in (correlation(a, b).alias(f"_{a}_{b}"), both(a, b).alias(f"_n_{a}_{b}"))
+    ])
+    rows = F.array(*[
+        F.struct(
+            F.lit(a).alias("fact"), F.lit(b).alias("other_fact"), F.col(f"_n_{a}_{b}").alias("count_videos"),
+            F.round(f"_{a}_{b}", 6).alias("correlation"),
+        ) for a, b in pairs
+    ])
+    return found.select("category_id", F.inline(rows))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
+from viewtide.functions.expressions import PROVIDED
 from viewtide.schemas import CONSTRAINTS, HISTORY, MAX_BYTES, META
 
 LINE = "line"
@@ -26,22 +27,23 @@ class TooManyRejects(Exception):
     """More input lines were rejected than allowed."""
 
 
-def read_meta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_meta(spark: SparkSession, path: str, providers: bool = False) -> tuple[DataFrame, DataFrame]:
     """Videos: (good rows, rejects)."""
-    return read_csv(spark, path, "meta")
+    return read_csv(spark, path, "meta", providers)
 
 
-def read_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_history(spark: SparkSession, path: str, providers: bool = False) -> tuple[DataFrame, DataFrame]:
     """Observations: (good rows, rejects). Integers may be quoted, and `""` is missing."""
-    return read_csv(spark, path, "history")
+    return read_csv(spark, path, "history", providers)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
-    parsed = parse(spark, path, table)
-    return good_rows(parsed, table), rejects(parsed, table)
+def read_csv(spark: SparkSession, path: str, table: str, providers: bool = False) -> tuple[DataFrame, DataFrame]:
+    """With `providers`, ids that do not name a provider are rejects."""
+    parsed = parse(spark, path, table, providers)
+    return good_rows(parsed, table), rejects(parsed, table, providers)
 
 
-def parse(spark: SparkSession, path: str, table: str) -> DataFrame:
+def parse(spark: SparkSession, path: str, table: str, providers: bool = False) -> DataFrame:
     """Every line as text, with its typed columns and whether it is rejected.
 
     The lines are read as text, so that a reject keeps its line as it was. `inline` makes
@@ -59,7 +61,7 @@ def parse(spark: SparkSession, path: str, table: str) -> DataFrame:
     typed = lines.withColumns({
         c: F.when(F.col(_TEXT + c).rlike(_FULL_TIME), F.col(_TEXT + c).try_cast("timestamp")) for c in times
     })
-    broken = [F.col(_CORRUPT).isNotNull(), *(condition for condition, _ in _violations(table))]
+    broken = [F.col(_CORRUPT).isNotNull(), *(condition for condition, _ in _violations(table, providers))]
     return typed.withColumn(REJECTED, F.coalesce(reduce(or_, broken), F.lit(False)))
 
 
@@ -67,9 +69,9 @@ def good_rows(parsed: DataFrame, table: str) -> DataFrame:
     return parsed.filter(~F.col(REJECTED)).select(*_SCHEMAS[table].names)
 
 
-def rejects(parsed: DataFrame, table: str) -> DataFrame:
+def rejects(parsed: DataFrame, table: str, providers: bool = False) -> DataFrame:
     """The rejected lines and the first reason found for each."""
-    violated = F.coalesce(*[F.when(condition, F.lit(text)) for condition, text in _violations(table)])
+    violated = F.coalesce(*[F.when(condition, F.lit(text)) for condition, text in _violations(table, providers)])
     reason = F.when(F.col(_CORRUPT).isNull(), violated).otherwise(_parse_failure(_SCHEMAS[table]))
     return parsed.filter(REJECTED).select(LINE, reason.alias(REASON))
 
@@ -90,7 +92,7 @@ def _ddl(schema: StructType) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def _violations(table: str) -> list[tuple[Column, str]]:
+def _violations(table: str, providers: bool = False) -> list[tuple[Column, str]]:
     """Conditions under which a parsed line breaks the table's constraints."""
     blank = [(F.col(LINE).rlike(_BLANK), "blank line")]
     no_time = [
@@ -105,7 +107,8 @@ def _violations(table: str) -> list[tuple[Column, str]]:
         for c in _SCHEMAS[table].names
         if c in MAX_BYTES
     ]
-    return blank + no_time + missing + too_long
+    unnamed = [(~F.col("gid").rlike(PROVIDED), "gid: no provider")] if providers else []
+    return blank + no_time + missing + too_long + unnamed
 
 
 def _parse_failure(schema: StructType) -> Column:
