@@ -16,6 +16,7 @@ def brute(text, items):
         own = re.findall(r"[a-z0-9]+", (item or "").lower())
         width = min(ss.WINDOW, len(own))
         if len(own) < ss.SPAN:
+            found += any(words[a : a + len(own)] == own for a in range(len(words) - len(own) + 1)) if own else False
             continue
         found += any(
             sum(x == y for x, y in zip(words[a : a + width], own[b : b + width])) >= ss.SIMILARITY * width
@@ -55,3 +56,24 @@ def test_cases(spark, documents):
     assert got == sorted([(None, 1), (1, 0), (2, 0), (3, 1), (3, 1), (4, 1), (5, 0)], key=repr)
     assert ss.mark(docs.limit(0), benchmark).count() == 0
     assert all(r.n_items == 0 for r in ss.mark(docs, benchmark.limit(0)).collect())
+
+
+def test_items_too_short_for_the_masks(spark, documents):
+    """One to nine words: found where all of them stand, in any case and with any punctuation."""
+    rng = random.Random(8)
+    items = [" ".join(sentence(rng, n)) for n in (*range(1, 10), 3, 9, 30)]
+    rows = [(k, " ".join(sentence(rng, 20) + items[k].upper().replace(" ", ", ").split() + sentence(rng, 3 * (k % 2))), "s")
+            for k in range(12)]
+    almost = items[8].split()
+    rows += [(20, " ".join(almost[:8] + ["other"]), "s"), (21, items[0], "s"), (22, f"{items[1]} {items[1]} {items[0]}", "s")]
+    rows += [(23, " ".join(items[4].split()[::-1]), "s")]
+    benchmark = spark.createDataFrame([(t,) for t in items], "text string")
+    got = {r.doc_id: r.n_items for r in ss.mark(documents(rows), benchmark).collect()}
+    assert got == {d: brute(t, items) for d, t, _ in rows}
+    assert all(got[k] >= 1 for k in range(12)) and (got[20], got[21], got[22], got[23]) == (0, 1, 2, 0)
+
+
+def test_columns_come_back_as_they_were(spark):
+    docs = spark.createDataFrame([(1, "a b c", 7, "x", 5)], "doc_id long, text string, row_id int, item string, n_items int")
+    benchmark = spark.createDataFrame([("b c",)], "text string")
+    assert ss.mark(docs, benchmark).collect() == [(1, "a b c", 7, "x", 1)]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.llm.tables import store, text_of
+from viewtide.llm.tables import steady, store, text_of
 from viewtide.llm.words import Words, pieces, split
 
 ORDER = 5
@@ -44,11 +44,12 @@ _ENTRIES = "block bigint, part int, words boolean, keys binary, counts binary"
 
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    assert 2 <= order <= 6
+    if not 2 <= order <= 6:
+        raise ValueError(f"order must be 2 to 6, not {order}")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     row_id = F.monotonically_increasing_id()
-    rows = docs.select(
+    rows = steady(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0).alias("held_out"),
         text_of("text").cast("binary").alias("text"),

@@ -8,20 +8,26 @@ scan. Those are joined with the benchmark's seeds by hash, and each (stretch, it
 that meets is verified: laid over each other, some window of `window` words (the whole item
 if shorter) must agree in at least `similarity` of its words.
 
-Words are in lower case and without punctuation. Defined cases: a missing text has no words.
-Items of fewer than ten words cannot be told from chance and match nothing. Equal items,
-repeated rows and documents without id are handled one by one. Stretches of one document
-that overlap are joined into one.
+Items of fewer than ten words are too short for the masks: all their words are one seed,
+and documents are looked through for stretches of the lengths that such items have. They
+match where all their words stand.
+
+Words are in lower case and without punctuation. Defined cases: a missing text has no words,
+an item without words matches nothing. Equal items are one, repeated rows and documents
+without id are handled one by one. Stretches of one document that overlap are joined into
+one. Columns come back as they were, but for n_items; names that begin with `_seeds_` are
+reserved.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.llm.tables import store, text_of
+from viewtide.llm.tables import reserved, steady, store, text_of
 from viewtide.llm.words import BREAKS, mix, pieces, split
 
 # 1: the word counts, 0: it may differ.
@@ -31,6 +37,7 @@ WINDOW = 20
 SIMILARITY = 0.8
 REACH = 48
 _MAP_BITS = 27
+_NUMBER, _COUNT = "_seeds_row", "_seeds_items"
 
 
 def seeds(hashes: np.ndarray, document: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -47,8 +54,16 @@ def seeds(hashes: np.ndarray, document: np.ndarray) -> Iterator[tuple[np.ndarray
         yield inside, mix(h)
 
 
+def gram(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the stretches of `size` words from the positions on."""
+    h = np.full(len(at), 1000 + size, np.uint64)
+    for j in range(size):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + hashes[at + j]
+    return mix(h)
+
+
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
-    """row_id and number of items found, for each contaminated row of `numbered(docs)`."""
+    """row_id and number of items found, for each contaminated row; numbers are those of `steady(docs)`."""
     spark = docs.sparkSession
     items = store(
         benchmark.select(text_of("text").alias("text")).distinct()
@@ -57,15 +72,20 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity
         "items",
     )
     item_seeds = items.select("item", F.inline("seeds"))
-    # At most 2^27 distinct numbers, 16 MB as a bit map.
-    places = item_seeds.select(F.shiftrightunsigned("seed", 64 - _MAP_BITS).alias("place")).distinct().toArrow()
-    bits = np.zeros(1 << _MAP_BITS, bool)
-    bits[places.column(0).to_numpy()] = True
-    bit_map = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
-    rows = numbered(docs).select("row_id", text_of("text").alias("text"))
+    # At most 2^21 rows of 64 bits each, however many seeds there are.
+    place = F.shiftrightunsigned("seed", 64 - _MAP_BITS)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - _MAP_BITS}) & 63 as int))")
+    filled = item_seeds.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(1 << (_MAP_BITS - 6), "<i8")
+    bits[filled.column("word").to_numpy()] = filled.column("bits").to_numpy()
+    bit_map = spark.sparkContext.broadcast(bits.view(np.uint8))
+    # At most nine numbers.
+    size = (F.octet_length("words") / 8).cast("int")
+    lengths = sorted(r[0] for r in items.filter((size > 0) & (size < SPAN)).select(size).distinct().collect())
+    rows = steady(docs).select(F.monotonically_increasing_id().alias("row_id"), text_of("text").alias("text"))
     stretches = store(
         rows.mapInArrow(
-            lambda batches: _stretches(batches, bit_map),
+            lambda batches: _stretches(batches, bit_map, lengths),
             "row_id bigint, stretch bigint, words binary, seeds array<struct<seed: bigint, at: int>>",
         ),
         "stretches",
@@ -85,17 +105,16 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity
     return verified.distinct().groupBy("row_id").agg(F.count("*").alias("n_items"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number of their own: the same for each reading of the same files."""
-    return docs.withColumn("row_id", F.monotonically_increasing_id())
-
-
 def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents with n_items, the number of benchmark items each contains."""
-    found = store(find(docs, benchmark), "found")
-    return numbered(docs).join(found, "row_id", "left").withColumn(
-        "n_items", F.coalesce("n_items", F.lit(0))
-    ).drop("row_id")
+    reserved(docs, "_seeds_")
+    docs = steady(docs)
+    found = store(find(docs, benchmark), "found").select(F.col("row_id").alias(_NUMBER), F.col("n_items").alias(_COUNT))
+    own = [c for c in docs.columns if c != "n_items"]
+    return (
+        docs.withColumn(_NUMBER, F.monotonically_increasing_id()).join(found, _NUMBER, "left")
+        .select(*own, F.coalesce(_COUNT, F.lit(0)).alias("n_items"))
+    )
 
 
 def _seed_list(hashes: np.ndarray, at: np.ndarray) -> list[dict]:
@@ -115,6 +134,10 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 cuts = np.searchsorted(words.document[position], np.arange(1, part.num_rows))
                 for k, (h, p) in enumerate(zip(np.split(hashes, cuts), np.split(position, cuts))):
                     held[k] += _seed_list(h, p - firsts[k])
+            for size in range(1, SPAN):
+                short = np.flatnonzero(np.diff(firsts) == size)
+                for k, h in zip(short.tolist(), gram(words.hashes, firsts[short], size)):
+                    held[k] += _seed_list(h.reshape(1), np.zeros(1, np.int64))
             yield pa.RecordBatch.from_pydict({
                 "item": part.column("item"),
                 "words": pa.array([words.hashes[a:b].tobytes() for a, b in zip(firsts, firsts[1:])], pa.binary()),
@@ -122,14 +145,23 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], bit_map) -> Iterator[pa.RecordBatch]:
+def _grams(hashes: np.ndarray, document: np.ndarray, lengths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for size in lengths:
+        n = len(hashes) - size + 1
+        if n > 0:
+            inside = np.flatnonzero(document[size - 1 :] == document[:n])
+            yield inside, gram(hashes, inside, size)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], bit_map, lengths: list[int]) -> Iterator[pa.RecordBatch]:
     bits = bit_map.value
     for batch in batches:
         out = []
         for part, data, offsets in pieces(batch, "text"):
             words = split(data, offsets, BREAKS)
             hits = []
-            for position, hashes in seeds(words.hashes, words.document):
+            of_items = chain(seeds(words.hashes, words.document), _grams(words.hashes, words.document, lengths))
+            for position, hashes in of_items:
                 place = hashes >> np.uint64(64 - _MAP_BITS)
                 hit = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 hits.append((position[hit], hashes[hit]))

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewtide.llm.tables import text_of
+from viewtide.llm.tables import steady, text_of
 from viewtide.llm.words import power, mix, pieces
 
 LENGTH = 100
@@ -47,7 +47,7 @@ _FOUND = "row_id bigint, doc_id bigint, low int, high int, digest binary"
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept text."""
-    rows = docs.select(
+    rows = steady(docs).select(
         F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("bigint").alias("doc_id"),
         text_of("text").cast("binary").alias("text"),
     )
