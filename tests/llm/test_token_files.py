@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -30,11 +31,23 @@ def test_query(spark, duck, sf):
 
 
 def test_hard_texts(documents):
-    rows = [(k * 7 % 12, text, "s") for k, text in enumerate(HARD)] + [(None, "no id", "s")]
+    rows = [(k * 7 % len(HARD), text, "s") for k, text in enumerate(HARD)] + [(None, "no id", "s")]
     got = token_files.write_and_read(documents(rows)).collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == brute([r[:2] for r in rows])
 
 
+def test_words_of_any_kind():
+    """Random words of letters, marks, digits, punctuation and special tokens, as the tokenizer alone encodes them."""
+    rng, model = random.Random(2), Tokenizer.from_file(token_files.default_tokenizer())
+    encode = token_files.encoder(token_files.default_tokenizer())
+    signs = [*"abzABZéÉñÑßİıΣσςǰŉ½²Ⅷ日각ـ١", "\u0301", "\u0331", "\u0338", "\u200d", *"'.,!?;:%&#$<|>_-()[]{}`~^@/\\+*=\"019",
+             "'s", "'ll", "<|endoftext|>", "<|"]
+    for _ in range(300):
+        text = " ".join("".join(rng.choice(signs) for _ in range(rng.randrange(1, 7))) for _ in range(40))
+        ids = np.frombuffer(encode([text.encode()])[0], "<u4").tolist()
+        assert ids == model.encode(text, add_special_tokens=False).ids, text
+
+
 def test_repeated_and_empty(documents):
     rows = [(1, "a b c", "s")] * 3 + [(2, "d", "s")]
     got = sorted(map(tuple, token_files.write_and_read(documents(rows)).collect()))

@@ -6,9 +6,10 @@ or vary little and are delta encoded (the second version of the format). Row gro
 bounded size, and pages an index with the smallest and largest value of each column, so
 that a reader that wants some documents or only metadata skips the other pages.
 
-Words repeat, so every Python worker keeps the ids of the words it has met, up to a bound,
-and only new words go through the tokenizer: white space never takes part in a token of
-this vocabulary, which `encoder` checks on the tokenizer's own description.
+Words repeat, so every Python worker keeps the ids of the words it has met, and of their
+stems without punctuation behind them, up to a bound, and only new stems go through the
+tokenizer: neither white space nor the border between a letter and punctuation ever lies
+within a token of this vocabulary, which `encoder` checks on the tokenizer's own description.
 
 Defined cases: a missing text is empty and has the end id only. Documents without an id
 come last. Repeated rows are written and counted one by one. Other columns are not read
@@ -17,6 +18,7 @@ unless named in `metadata`.
 
 import json
 import posixpath
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -27,13 +29,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewtide.llm.tables import text_of
+from viewtide.llm.words import pieces
 from viewtide.sources.scratch import scratch_dir
 
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 CACHED_WORDS = 700_000
+CACHED_STEMS = 500_000
+# What the vocabulary must split words by, for stems to be encoded apart from what ends them.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BATCH = 512
+_PIECE_BYTES = 4 << 20
 
 
 def default_tokenizer() -> str:
@@ -100,42 +107,79 @@ def write_and_read(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return digests(read(spark, path))
 
 
-_ENCODERS: dict[str, Callable[[bytes], bytes]] = {}
+_ENCODERS: dict[str, Callable[[list[bytes]], list[bytes]]] = {}
 
 
-def encoder(tokenizer: str) -> Callable[[bytes], bytes]:
-    """Ids of a text in UTF-8 as little-endian 32-bit integers. Kept for the life of the worker."""
+def encoder(tokenizer: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Ids of texts in UTF-8 as little-endian 32-bit integers. Kept for the life of the worker."""
     if tokenizer not in _ENCODERS:
         _ENCODERS[tokenizer] = _make_encoder(tokenizer)
     return _ENCODERS[tokenizer]
 
 
-def _make_encoder(path: str) -> Callable[[bytes], bytes]:
+def _make_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
     ids_of = lambda text: np.array(model.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-    if not _splits_at_spaces(json.loads(model.to_str())):
-        return ids_of
+    description = json.loads(model.to_str())
+    if not _splits_at_spaces(description):
+        return lambda texts: list(map(ids_of, texts))
+    special = [token["content"].encode() for token in description["added_tokens"]]
     known: dict[bytes, bytes] = {}
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()  # at ASCII white space only
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        new = list({word for word in words if word not in known})
+    stems: dict[bytes, bytes] = {b"": b""}
+
+    def learn(words: set[bytes], special_inside: bool) -> None:
+        parts = list(map(_stem_and_end, words))
+        if special_inside:
+            parts = [(w, w, b"") if any(token in w for token in special) else part for w, part in zip(words, parts)]
+        used = {stem for _, stem, _ in parts}
+        used.update([end for _, _, end in parts])
+        if len(stems) + len(used) > CACHED_STEMS:
+            stems.clear()
+            stems[b""] = b""
+        wanted = list(used.difference(stems))
+        for at in range(0, len(wanted), _BATCH):
+            stems.update(_encode_words(model, wanted[at : at + _BATCH]))
+        known.update((word, stems[stem] + stems[end]) for word, stem, end in parts)
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        words = [text.split() for text in texts]  # at ASCII white space only
+        met = set().union(*words)
+        new = met.difference(known)
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
-            new = list(set(words))
-        for at in range(0, len(new), _BATCH):
-            known.update(_encode_words(model, new[at : at + _BATCH]))
-        return b"".join(map(known.__getitem__, words))
+            new = met
+        learn(new, any(token in text for text in texts for token in special))
+        return [b"".join(map(known.__getitem__, w)) for w in words]
 
     return encode
 
 
+# A letter, or a part of one, and the punctuation behind it, apostrophes apart.
+_ENDED = re.compile(rb"(.*[A-Za-z\x80-\xff])([!-&(-/:-@\[-`{-~]*)", re.DOTALL).fullmatch
+
+
+def _stem_and_end(word: bytes) -> tuple[bytes, bytes, bytes]:
+    """The word and two parts whose ids together are the word's; the second is punctuation or empty.
+
+    Between a letter and ASCII punctuation this vocabulary always begins a new token, so
+    many words share a stem. A-Z in the stem are put in lower case as its normalizer does;
+    with letters only, nothing in it composes differently by case. A stem that ends in
+    something else, or in a letter that its lower case turns into more, is not cut off.
+    """
+    found = _ENDED(word)
+    if found is None:
+        return word, word, b""
+    stem, end = found.groups()
+    if stem.isascii():
+        return word, stem.lower(), end
+    text = stem.decode()
+    if text.isalpha() and len(text[-1].lower()) == 1:
+        return word, stem.lower(), end
+    return word, word, b""
+
+
 def _splits_at_spaces(description: dict) -> bool:
     """Whether white space always ends a word and is then dropped, as in this vocabulary."""
     normalizers = [x["type"] for x in (description["normalizer"] or {}).get("normalizers", [])]
@@ -143,7 +187,7 @@ def _splits_at_spaces(description: dict) -> bool:
     return (
         normalizers == ["NFC", "Replace", "Lowercase"]
         and [x["type"] for x in steps] == ["Split", "ByteLevel"]
-        and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["add_prefix_space"]
+        and steps[0]["pattern"] == {"Regex": SPLIT} and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["add_prefix_space"]
         and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or " " in x["content"]
                     for x in description["added_tokens"])
     )
@@ -165,9 +209,8 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, meta
     end = np.array([end_id], "<u4").tobytes()
     start = 0
     for batch in batches:
-        for at in range(0, batch.num_rows, _BATCH):
-            part = batch.slice(at, _BATCH)
-            encoded = [encode(text) + end for text in part.column("text").to_pylist()]
+        for part, _, _ in pieces(batch, "text", _PIECE_BYTES):
+            encoded = [ids + end for ids in encode(part.column("text").to_pylist())]
             lengths = np.fromiter((len(x) // 4 for x in encoded), np.int64, len(encoded))
             ends = np.cumsum(lengths)
             ids = pa.ListArray.from_arrays(
