@@ -40,6 +40,10 @@ def test_words_of_any_kind():
     """Random words of letters, marks, digits, punctuation and special tokens, as the tokenizer alone encodes them."""
     rng, model = random.Random(2), Tokenizer.from_file(token_files.default_tokenizer())
     encode = token_files.encoder(token_files.default_tokenizer())
+    for words in (["a1", "It's", "dogs'", "X,", "3.5", "'", "A!b?"], ["<|ENDOFTEXT|>1", "b."], ["é.", "B"]):
+        raw = [w.encode() for w in words]
+        parts = {w: stem + end for w, stem, end in token_files._stems_and_ends(set(raw), [b"<|endoftext|>"])}
+        assert parts.keys() == set(raw) and all(v.lower() == w.lower() for w, v in parts.items())
     signs = [*"abzABZéÉñÑßİıΣσςǰŉ½²Ⅷ日각ـ١", "\u0301", "\u0331", "\u0338", "\u200d", *"'.,!?;:%&#$<|>_-()[]{}`~^@/\\+*=\"019",
              "'s", "'ll", "<|endoftext|>", "<|"]
     for _ in range(300):

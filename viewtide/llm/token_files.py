@@ -130,9 +130,9 @@ def _make_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     stems: dict[bytes, bytes] = {b"": b""}
 
     def learn(words: set[bytes], special_inside: bool) -> None:
-        parts = list(map(_stem_and_end, words))
+        parts = _stems_and_ends(words, special)
         if special_inside:
-            parts = [(w, w, b"") if any(token in w for token in special) else part for w, part in zip(words, parts)]
+            parts = [(w, w, b"") if any(token in w for token in special) else (w, *part) for w, *part in parts]
         used = {stem for _, stem, _ in parts}
         used.update([end for _, _, end in parts])
         if len(stems) + len(used) > CACHED_STEMS:
@@ -158,6 +158,18 @@ def _make_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
 
 # A letter, or a part of one, and the punctuation behind it, apostrophes apart.
 _ENDED = re.compile(rb"(.*[A-Za-z\x80-\xff])([!-&(-/:-@\[-`{-~]*)", re.DOTALL).fullmatch
+_ALL_ENDED = re.compile(rb"(?:([^ ]*[a-z])([!-&(-/:-@\[-`{-~]*)|([^ ]+))(?: |\Z)", re.DOTALL).findall
+
+
+def _stems_and_ends(words: set[bytes], special: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
+    """`_stem_and_end` of many words, those in ASCII with one pass of a pattern over all."""
+    plain = [word for word in words if word.isascii()]
+    joined = b" ".join(plain).lower()
+    # In lower case, a word may look like a special token that it is not.
+    if not plain or any(token in joined for token in special):
+        return list(map(_stem_and_end, words))
+    parts = [(word, stem or whole, end) for word, (stem, end, whole) in zip(plain, _ALL_ENDED(joined))]
+    return parts + [_stem_and_end(word) for word in words if not word.isascii()]
 
 
 def _stem_and_end(word: bytes) -> tuple[bytes, bytes, bytes]:
