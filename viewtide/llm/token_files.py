@@ -35,12 +35,12 @@ from viewtide.sources.scratch import scratch_dir
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
-CACHED_WORDS = 700_000
-CACHED_STEMS = 500_000
+CACHED_WORDS = 450_000
+CACHED_STEMS = 350_000
 # What the vocabulary must split words by, for stems to be encoded apart from what ends them.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BATCH = 512
-_PIECE_BYTES = 4 << 20
+_PIECE_BYTES = 2 << 20
 
 
 def default_tokenizer() -> str:
