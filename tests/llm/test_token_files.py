@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
@@ -40,16 +41,29 @@ def test_words_of_any_kind():
     """Random words of letters, marks, digits, punctuation and special tokens, as the tokenizer alone encodes them."""
     rng, model = random.Random(2), Tokenizer.from_file(token_files.default_tokenizer())
     encode = token_files.encoder(token_files.default_tokenizer())
-    for words in (["a1", "It's", "dogs'", "X,", "3.5", "'", "A!b?"], ["<|ENDOFTEXT|>1", "b."], ["é.", "B"]):
-        raw = [w.encode() for w in words]
-        parts = {w: stem + end for w, stem, end in token_files._stems_and_ends(set(raw), [b"<|endoftext|>"])}
-        assert parts.keys() == set(raw) and all(v.lower() == w.lower() for w, v in parts.items())
+    for words, whole in ((["a1", "It's", "dogs'", "X,", "3.5", "'", "A!b?", "İ.", "aİ!"], [0, 2, 4, 5, 7, 8]),
+                         (["<|ENDOFTEXT|>1", "b<|ENDOFTEXT|>a.", "b."], [0, 1]), (["é.", "B", ""], [2])):
+        stems, ends = token_files._stems_and_ends(pa.array(words), ["<|endoftext|>"])
+        assert [(s + e).lower() for s, e in zip(stems.to_pylist(), ends.to_pylist())] == [w.lower() for w in words]
+        assert all(stems[k].as_py() == words[k] for k in whole)
     signs = [*"abzABZéÉñÑßİıΣσςǰŉ½²Ⅷ日각ـ١", "\u0301", "\u0331", "\u0338", "\u200d", *"'.,!?;:%&#$<|>_-()[]{}`~^@/\\+*=\"019",
              "'s", "'ll", "<|endoftext|>", "<|"]
     for _ in range(300):
         text = " ".join("".join(rng.choice(signs) for _ in range(rng.randrange(1, 7))) for _ in range(40))
-        ids = np.frombuffer(encode([text.encode()])[0], "<u4").tolist()
-        assert ids == model.encode(text, add_special_tokens=False).ids, text
+        assert encode(pa.array([text]))[0].as_py() == model.encode(text, add_special_tokens=False).ids, text
+
+
+def test_forgotten_stems(monkeypatch):
+    """Ids stay right when stems are forgotten, and over slices of a column."""
+    monkeypatch.setattr(token_files, "CACHED_STEMS", 30)
+    model = Tokenizer.from_file(token_files.default_tokenizer())
+    encode = token_files._make_encoder(token_files.default_tokenizer())
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) + rng.choice(["", ",", "."]) for _ in range(rng.randrange(20)))
+             for _ in range(120)]
+    for at in range(0, 120, 40):
+        got = encode(pa.array(texts).slice(at, 40)).to_pylist()
+        assert got == [model.encode(text, add_special_tokens=False).ids for text in texts[at : at + 40]]
 
 
 def test_repeated_and_empty(documents):

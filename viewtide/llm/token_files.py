@@ -6,9 +6,10 @@ or vary little and are delta encoded (the second version of the format). Row gro
 bounded size, and pages an index with the smallest and largest value of each column, so
 that a reader that wants some documents or only metadata skips the other pages.
 
-Words repeat, so every Python worker keeps the ids of the words it has met, and of their
-stems without punctuation behind them, up to a bound, and only new stems go through the
-tokenizer: neither white space nor the border between a letter and punctuation ever lies
+Words repeat, so the words of a piece of text are numbered in Arrow and parted from the
+punctuation behind them. Every Python worker keeps the ids of the stems it has met, up to a
+bound, and only new ones go through the tokenizer; the ids of all words are then taken
+together. Neither white space nor the border between a letter and punctuation ever lies
 within a token of this vocabulary, which `encoder` checks on the tokenizer's own description.
 
 Defined cases: a missing text is empty and has the end id only. Documents without an id
@@ -18,7 +19,6 @@ unless named in `metadata`.
 
 import json
 import posixpath
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -35,12 +35,13 @@ from viewtide.sources.scratch import scratch_dir
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
-CACHED_WORDS = 450_000
-CACHED_STEMS = 350_000
+CACHED_STEMS = 1_000_000
 # What the vocabulary must split words by, for stems to be encoded apart from what ends them.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# ASCII punctuation that no token shares with a letter before it: all but the apostrophe.
+ENDS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 _BATCH = 512
-_PIECE_BYTES = 2 << 20
+_PIECE_BYTES = 8 << 20
 
 
 def default_tokenizer() -> str:
@@ -107,89 +108,95 @@ def write_and_read(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return digests(read(spark, path))
 
 
-_ENCODERS: dict[str, Callable[[list[bytes]], list[bytes]]] = {}
+_ENCODERS: dict[str, Callable[[pa.Array], pa.ListArray]] = {}
 
 
-def encoder(tokenizer: str) -> Callable[[list[bytes]], list[bytes]]:
-    """Ids of texts in UTF-8 as little-endian 32-bit integers. Kept for the life of the worker."""
+def encoder(tokenizer: str) -> Callable[[pa.Array], pa.ListArray]:
+    """Lists of the ids of texts. Kept for the life of the worker."""
     if tokenizer not in _ENCODERS:
         _ENCODERS[tokenizer] = _make_encoder(tokenizer)
     return _ENCODERS[tokenizer]
 
 
-def _make_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
+def _make_encoder(path: str) -> Callable[[pa.Array], pa.ListArray]:
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
-    ids_of = lambda text: np.array(model.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
     description = json.loads(model.to_str())
     if not _splits_at_spaces(description):
-        return lambda texts: list(map(ids_of, texts))
-    special = [token["content"].encode() for token in description["added_tokens"]]
-    known: dict[bytes, bytes] = {}
-    stems: dict[bytes, bytes] = {b"": b""}
-
-    def learn(words: set[bytes], special_inside: bool) -> None:
-        parts = _stems_and_ends(words, special)
-        if special_inside:
-            parts = [(w, w, b"") if any(token in w for token in special) else (w, *part) for w, *part in parts]
-        used = {stem for _, stem, _ in parts}
-        used.update([end for _, _, end in parts])
-        if len(stems) + len(used) > CACHED_STEMS:
-            stems.clear()
-            stems[b""] = b""
-        wanted = list(used.difference(stems))
-        for at in range(0, len(wanted), _BATCH):
-            stems.update(_encode_words(model, wanted[at : at + _BATCH]))
-        known.update((word, stems[stem] + stems[end]) for word, stem, end in parts)
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        words = [text.split() for text in texts]  # at ASCII white space only
-        met = set().union(*words)
-        new = met.difference(known)
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = met
-        learn(new, any(token in text for text in texts for token in special))
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        return lambda texts: pa.array(
+            [model.encode(text, add_special_tokens=False).ids for text in texts.to_pylist()], pa.list_(pa.int32())
+        )
+    special = [token["content"] for token in description["added_tokens"]]
+    known = _Stems(model)
+
+    def encode(texts: pa.Array) -> pa.ListArray:
+        words = pc.ascii_split_whitespace(texts)
+        distinct = words.flatten().dictionary_encode()
+        stems, ends = _stems_and_ends(distinct.dictionary, special)
+        n = len(stems)
+        parts = known.ids(pa.concat_arrays([stems, ends]))
+        # Stem, end, stem, end and so on; then each two make a word.
+        pairs = parts.take(pa.array(np.arange(2 * n).reshape(2, n).T.reshape(-1)))
+        ids_of = pa.ListArray.from_arrays(pa.array(_offsets(pairs)[::2]), pairs.flatten())
+        ids = ids_of.take(distinct.indices)
+        return pa.ListArray.from_arrays(pa.array(_offsets(ids)[_offsets(words)]), ids.flatten())
 
     return encode
 
 
-# A letter, or a part of one, and the punctuation behind it, apostrophes apart.
-_ENDED = re.compile(rb"(.*[A-Za-z\x80-\xff])([!-&(-/:-@\[-`{-~]*)", re.DOTALL).fullmatch
-_ALL_ENDED = re.compile(rb"(?:([^ ]*[a-z])([!-&(-/:-@\[-`{-~]*)|([^ ]+))(?: |\Z)", re.DOTALL).findall
+def _offsets(lists: pa.ListArray) -> np.ndarray:
+    """Where each list begins and the last one ends in the flattened values."""
+    offsets = lists.offsets.to_numpy()
+    return offsets - offsets[0]
 
 
-def _stems_and_ends(words: set[bytes], special: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
-    """`_stem_and_end` of many words, those in ASCII with one pass of a pattern over all."""
-    plain = [word for word in words if word.isascii()]
-    joined = b" ".join(plain).lower()
-    # In lower case, a word may look like a special token that it is not.
-    if not plain or any(token in joined for token in special):
-        return list(map(_stem_and_end, words))
-    parts = [(word, stem or whole, end) for word, (stem, end, whole) in zip(plain, _ALL_ENDED(joined))]
-    return parts + [_stem_and_end(word) for word in words if not word.isascii()]
+class _Stems:
+    """Ids of stems that were met, newest last; the older half goes when there are too many."""
 
+    def __init__(self, model) -> None:
+        self.model = model
+        self.stems = pa.array([""])
+        self.found = pa.array([[]], pa.list_(pa.int32()))
 
-def _stem_and_end(word: bytes) -> tuple[bytes, bytes, bytes]:
-    """The word and two parts whose ids together are the word's; the second is punctuation or empty.
+    def ids(self, stems: pa.Array) -> pa.ListArray:
+        wanted = stems.dictionary_encode()
+        distinct = wanted.dictionary
+        if len(self.stems) > CACHED_STEMS:
+            half = len(self.stems) // 2
+            self.stems, self.found = (pa.concat_arrays([x[:1], x[half:]]) for x in (self.stems, self.found))
+        new = distinct.filter(pc.is_null(pc.index_in(distinct, self.stems)))
+        parts = [_encode_words(self.model, new[at : at + _BATCH].to_pylist()) for at in range(0, len(new), _BATCH)]
+        self.stems = pa.concat_arrays([self.stems, new])
+        self.found = pa.concat_arrays([self.found, *parts])
+        return self.found.take(pc.index_in(distinct, self.stems).take(wanted.indices))
+
+
+def _stems_and_ends(words: pa.Array, special: list[str]) -> tuple[pa.Array, pa.Array]:
+    """Two parts of each word whose ids together are the word's; the second is punctuation or empty.
 
     Between a letter and ASCII punctuation this vocabulary always begins a new token, so
-    many words share a stem. A-Z in the stem are put in lower case as its normalizer does;
-    with letters only, nothing in it composes differently by case. A stem that ends in
-    something else, or in a letter that its lower case turns into more, is not cut off.
+    many words share a stem. A-Z in the stem are put in lower case as its normalizer does.
+    A stem that ends in something else, in a letter that its lower case turns into more, or
+    that holds other characters than letters beside ASCII, is not cut off; nor is one of a
+    word that holds a special token, or would in lower case.
     """
-    found = _ENDED(word)
-    if found is None:
-        return word, word, b""
-    stem, end = found.groups()
-    if stem.isascii():
-        return word, stem.lower(), end
-    text = stem.decode()
-    if text.isalpha() and len(text[-1].lower()) == 1:
-        return word, stem.lower(), end
-    return word, word, b""
+    stems = pc.ascii_rtrim(words, ENDS)
+    lower = pc.ascii_lower(stems)
+    cut = pc.match_substring_regex(lower, r"^(?:[\x00-\x7f]*[a-z]|\pL*[^\PL\x{130}])$")
+    for token in special:
+        cut = pc.and_not(cut, pc.match_substring(pc.ascii_lower(words), pc.ascii_lower(token).as_py()))
+    return pc.if_else(cut, lower, words), pc.if_else(cut, _rest(words, stems), "")
+
+
+def _rest(words: pa.Array, stems: pa.Array) -> pa.Array:
+    """What follows the stem in each word."""
+    whole = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    lengths = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    source = np.arange(ends[-1]) + np.repeat(whole[1:] - ends[1:], lengths)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[source]
+    return pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
 
 
 def _splits_at_spaces(description: dict) -> bool:
@@ -205,36 +212,32 @@ def _splits_at_spaces(description: dict) -> bool:
     )
 
 
-def _encode_words(model, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+def _encode_words(model, words: list[str]) -> pa.ListArray:
     """The words encoded as one text, and cut apart by where each id's characters stand."""
-    texts = [word.decode() for word in words]
-    found = model.encode(" ".join(texts), add_special_tokens=False)
-    ends = np.cumsum([len(text) + 1 for text in texts])
+    found = model.encode(" ".join(words), add_special_tokens=False)
+    ends = np.cumsum([len(word) + 1 for word in words])
     starts = np.fromiter((offset[0] for offset in found.offsets), np.int64, len(found.ids))
-    cuts = np.searchsorted(starts, ends).tolist()
-    ids = np.array(found.ids, "<u4").tobytes()
-    return zip(words, (ids[4 * a : 4 * b] for a, b in zip([0, *cuts], cuts)))
+    cuts = np.concatenate([[0], np.searchsorted(starts, ends)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(found.ids, pa.int32()))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, metadata) -> Iterator[pa.RecordBatch]:
     encode = encoder(tokenizer)
-    end = np.array([end_id], "<u4").tobytes()
     start = 0
     for batch in batches:
         for part, _, _ in pieces(batch, "text", _PIECE_BYTES):
-            encoded = [ids + end for ids in encode(part.column("text").to_pylist())]
-            lengths = np.fromiter((len(x) // 4 for x in encoded), np.int64, len(encoded))
-            ends = np.cumsum(lengths)
-            ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]), pa.int32()),
-                pa.array(np.frombuffer(b"".join(encoded), "<i4"), pa.int32()),
-            )
+            found = encode(part.column("text").cast(pa.string()))
+            offsets = _offsets(found).astype(np.int64)
+            with_end = np.insert(found.flatten().to_numpy(), offsets[1:], end_id)
+            offsets += np.arange(len(offsets))
+            lengths, starts = np.diff(offsets), start + offsets[:-1]
             columns = {
                 "doc_id": part.column("doc_id"), "file_number": part.column("file_number"),
-                "start_in_file": pa.array(start + ends - lengths), "n_tokens": pa.array(lengths, pa.int32()),
-                "token_ids": ids, **{c: part.column(c) for c in metadata},
+                "start_in_file": pa.array(starts), "n_tokens": pa.array(lengths, pa.int32()),
+                "token_ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(with_end)),
+                **{c: part.column(c) for c in metadata},
             }
-            start += int(ends[-1])
+            start += len(with_end)
             yield pa.RecordBatch.from_pydict(columns)
 
 
