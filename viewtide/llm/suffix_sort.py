@@ -14,7 +14,7 @@ are spread out, as are all its places in later pieces of the task.
 
 The suffixes are dealt over ranges by sampled splitters on their leading bytes, then
 document and position. Within a range, the windows of each anchor are sorted by multikey
-quicksort, eight bytes at a time: classes that are equal so far are split by the next key,
+quicksort, eight bytes at a time (of suffixes that are equal in all they carry only the first): classes that are equal so far are split by the next key,
 until their rows are equal in all that is left. Of each class the first in order stays. An
 anchor that is very frequent fills several ranges; so the first and the last anchor of each
 range are compared across boundaries, by a digest of the windows that were first there.
@@ -39,6 +39,7 @@ LENGTH = 100
 GRAM = 32
 _SPREAD = LENGTH - GRAM + 1
 _PLACE_BITS = 30
+_KEY_BITS = np.uint64((1 << 64) - (1 << 16))
 _WINDOWS_AT_ONCE = 200_000
 # Hashes a task remembers as repeated, half a megabyte; more are only told of again.
 _MOST_TOLD = 65_536
@@ -110,6 +111,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = part.column("row_id").to_numpy()
             low, n, at, hashes, row = anchor_runs(data, offsets)
             key, sure, told = spread_repeats(hashes, ids[row], low, told)
+            # Fewer bits weigh less; anchors that meet by chance are told apart when they are sorted.
+            key &= _KEY_BITS
             # First window; number of windows and distance of the anchor, at most 69 each.
             yield pa.RecordBatch.from_pydict({
                 "key": pa.array(key.view(np.int64)), "row_id": pa.array(ids[row]),
@@ -206,31 +209,41 @@ def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The repeats of one range, whose rows come in order; whole anchors at a time."""
-    held, first = None, True
+    held, n_held, open_lead, first = [], 0, None, True
     for batch in batches:
-        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        leads = held.column("lead").combine_chunks().to_numpy(zero_copy_only=False)
-        last = int(np.flatnonzero(leads != leads[-1])[-1]) + 1 if (leads != leads[-1]).any() else 0
-        # The last anchor may go on in the next batch.
-        if last and held.num_rows >= 4000:
-            yield from _sorted_out(held.slice(0, last), first, False)
-            held, first = held.slice(last), False
-    if held is not None and held.num_rows:
-        yield from _sorted_out(held, first, True)
+        leads = batch.column("lead")
+        others = np.flatnonzero(pc.not_equal(leads, leads[-1]).to_numpy(zero_copy_only=False))
+        # Up to here anchors are complete; the last one may go on in the next batch.
+        done = int(others[-1]) + 1 if len(others) else 0
+        ended = done or leads[-1] != open_lead
+        if ended and n_held + done >= 4000:
+            yield from _sorted_out(pa.Table.from_batches([*held, batch.slice(0, done)]), first, False)
+            held, n_held, first = [], 0, False
+            batch = batch.slice(done)
+        held.append(batch)
+        n_held, open_lead = n_held + batch.num_rows, leads[-1]
+    if n_held:
+        yield from _sorted_out(pa.Table.from_batches(held), first, True)
 
 
 def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
-    rows = rows.combine_chunks()
     leads = rows.column("lead").to_numpy()
     change = np.ones(len(leads), bool)
     change[1:] = leads[1:] != leads[:-1]
     group = np.cumsum(change) - 1
-    row_ids = rows.column("row_id").to_numpy()
     low, n, before = _parts_of(rows.column("run").to_numpy())
+    # Suffixes that equal an earlier one in all they carry are repeats with all their windows.
+    code = rows.column("around").combine_chunks().dictionary_encode().indices.to_numpy()
+    fresh = np.sort(np.unique((group * len(code) + code) * 128 + before, return_index=True)[1])
+    copies = np.delete(np.arange(len(code)), fresh)
+    yield _removed(rows.take(pa.array(copies)), low[copies], low[copies] + n[copies] + LENGTH - 1)
+    edge = ((group == 0) & first) | ((group == group[-1]) & last)
+    rows = rows.take(pa.array(fresh)).combine_chunks()
+    leads, group, edge, low, n, before = (x[fresh] for x in (leads, group, edge, low, n, before))
+    row_ids = rows.column("row_id").to_numpy()
     texts = [x[:k] + lead + x[k:] for x, k, lead in zip(rows.column("around").to_pylist(), before.tolist(), leads.tolist())]
     places = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
     data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
-    edge = ((group == 0) & first) | ((group == group[-1]) & last)
     repeated = np.zeros(int(n.sum()), bool)
     starts = np.concatenate([[0], np.cumsum(n)])
     owner = np.repeat(np.arange(len(n)), n)
@@ -252,19 +265,22 @@ def _sorted_out(rows: pa.Table, first: bool, last: bool) -> Iterator[pa.RecordBa
     closes[:-1] &= ~repeated[1:] | (owner[1:] != owner[:-1])
     opens, closes = np.flatnonzero(opens), np.flatnonzero(closes)
     suffix = owner[opens]
-    begin = low[suffix] + shift[opens]
-    # Shorter than a digest; only spreads them.
-    marks = mix(mix(row_ids[suffix].astype(np.uint64)) + begin.astype(np.uint64))
-    docs = rows.column("doc_id")
-    yield _found(row_ids[suffix], docs.take(pa.array(suffix)), begin, low[suffix] + shift[closes] + LENGTH,
-                 _binary(marks.view(np.uint8), np.arange(1, len(suffix) + 1) * 8))
+    yield _removed(rows.take(pa.array(suffix)), low[suffix] + shift[opens], low[suffix] + shift[closes] + LENGTH)
     open_ended = np.flatnonzero(edge[owner] & ~repeated)
     if len(open_ended):
         suffix, t = owner[open_ended], shift[open_ended]
         digests = [hashlib.blake2b(texts[k][a : a + LENGTH], digest_size=16).digest()
                    for k, a in zip(suffix.tolist(), t.tolist())]
         begin = low[suffix] + t
-        yield _found(row_ids[suffix], docs.take(pa.array(suffix)), begin, begin + LENGTH, pa.array(digests, pa.binary()))
+        yield _found(row_ids[suffix], rows.column("doc_id").take(pa.array(suffix)), begin, begin + LENGTH, pa.array(digests, pa.binary()))
+
+
+def _removed(rows: pa.Table, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+    """Stretches that are removed whatever other ranges hold."""
+    row_ids = rows.column("row_id").to_numpy()
+    # Shorter than a digest; only spreads them.
+    marks = mix(mix(row_ids.astype(np.uint64)) + low.astype(np.uint64)).astype(np.uint32)
+    return _found(row_ids, rows.column("doc_id"), low, high, _binary(marks.view(np.uint8), np.arange(1, len(low) + 1) * 4))
 
 
 def _found(row_id: np.ndarray, doc_id: pa.Array, low: np.ndarray, high: np.ndarray, digest: pa.Array) -> pa.RecordBatch:
