@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from viewtide.llm import kd_shards
 from viewtide.llm.kd_shards import shard
 from viewtide.llm.queries import queries
 
@@ -40,3 +41,67 @@ def test_cases(documents):
     check(shard(documents(rows).selectExpr("*", "cast(null as string) lang"), 3).collect(), 3, [r[:2] for r in rows])
     assert shard(documents([]).selectExpr("*", "'en' lang"), 3).collect() == []
     assert {r.shard for r in shard(documents(rows).selectExpr("*", "'en' lang"), 1).collect()} == {0}
+
+
+def test_equal_texts_stay_together(spark, sf, duck):
+    """Groups lie in one shard each unless one outweighs a shard."""
+    rows = queries()["op8_kd_shards"](spark, sf).collect()
+    texts = dict(duck.sql("select doc_id, coalesce(text, '') from documents").fetchall())
+    shards, weights = {}, Counter()
+    for r in rows:
+        shards.setdefault(texts[r.doc_id], set()).add(r.shard)
+        weights[texts[r.doc_id]] += r.size
+    share = sum(weights.values()) / 24
+    repeated = Counter(texts.values())
+    assert sum(n > 1 for n in repeated.values()) > 20
+    assert not [t for t, found in shards.items() if len(found) > 1 and weights[t] <= share]
+
+
+def test_group_heavier_than_a_shard(documents):
+    rows = [(k, "same text", "s") for k in range(1200)] + [(None, "same text", "s")] * 300
+    rows += [(5000 + k, f"other {k % 400}", "t") for k in range(1200)]
+    found = shard(documents(rows).selectExpr("*", "'en' lang"), 12).collect()
+    weights = check(found, 12, [r[:2] for r in rows])
+    mean = sum(weights.values()) / 12
+    assert len(weights) == 12 and max(abs(w - mean) for w in weights.values()) < 4 * 20
+    small = {}
+    for r in found:
+        if r.doc_id is not None and r.doc_id >= 5000:
+            small.setdefault(r.text_crc32, set()).add(r.shard)
+    assert len(small) == 400 and all(len(s) == 1 for s in small.values())
+
+
+def by_hand(points, parts):
+    """The leaves of a k-d tree as sets of point hashes, cut at the weighted median."""
+    if parts == 1:
+        return [frozenset(p.text_hash for p in points)]
+    total = sum(p.weight for p in points)
+    width = {d: max(p[d] for p in points) - min(p[d] for p in points) for d in kd_shards.DISTANCES}
+    for kind in kd_shards.KINDS:
+        values = Counter()
+        for p in points:
+            values[p[kind]] += p.weight
+        width[kind] = (total - max(values.values())) / total * 65535
+    widest = max(kd_shards.DIMENSIONS, key=width.get)
+    order = sorted(points, key=lambda p: (p[widest], p.tie >> 2))
+    goal, below, left = total * (parts // 2) / parts, 0, 0
+    while below + order[left].weight < goal:
+        below += order[left].weight
+        left += 1
+    left += goal - below > order[left].weight / 2
+    return by_hand(order[:left], parts // 2) + by_hand(order[left:], parts - parts // 2)
+
+
+def test_same_tree_as_by_hand(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) < 4000")
+    rows = kd_shards._measured(docs).cache()
+    points = kd_shards._points(rows.withColumn("cut_row", F.lit(-1).cast("bigint"))).collect()
+    share = sum(p.weight for p in points) / 7
+    assert max(p.weight for p in points) < share
+    expected = by_hand(points, 7)
+    hashes = {r.doc_id: r.text_hash for r in rows.collect()}
+    found = {}
+    for r in shard(docs, 7, tolerance=0.0).collect():
+        found.setdefault(r.shard, set()).add(hashes[r.doc_id])
+    assert {frozenset(x) for x in found.values()} == set(expected)
+    rows.unpersist()
