@@ -77,3 +77,12 @@ def test_columns_come_back_as_they_were(spark):
     docs = spark.createDataFrame([(1, "a b c", 7, "x", 5)], "doc_id long, text string, row_id int, item string, n_items int")
     benchmark = spark.createDataFrame([("b c",)], "text string")
     assert ss.mark(docs, benchmark).collect() == [(1, "a b c", 7, "x", 1)]
+
+
+def test_clean_keeps_callers_columns(spark, documents):
+    item = " ".join(f"word{k}" for k in range(25))
+    docs = documents([(1, "before " + item + " after", "s"), (2, "nothing of it", "s"), (None, None, None), (2, "nothing of it", "s")])
+    mine = docs.selectExpr("*", "7 as n_items", "coalesce(doc_id, 0) + 5 as row_id", "'z' as item")
+    found = ss.clean(mine, spark.createDataFrame([(1, item)], "item_id int, text string"))
+    assert found.columns == mine.columns
+    assert sorted((r.doc_id or 0, r.row_id, r.n_items, r.item) for r in found.collect()) == [(0, 5, 7, "z"), (2, 7, 7, "z"), (2, 7, 7, "z")]

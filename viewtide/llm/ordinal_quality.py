@@ -7,13 +7,15 @@ tail probability of the best grade, by which documents are kept.
 
 Features are the presence of each word (lower case, without punctuation) in one of 2^18
 buckets, and the level of a few shares of the text: capitals, symbols, digits, repeated
-words, short fragments. They are made where the documents are; the model is fitted on a
-bounded sample of rated documents (`most_rated`, the documents whose ids hash lowest) and
-is of a fixed size. Scoring is one pass without a shuffle.
+words, marks of lists. They are made where the documents are; the model is fitted on a
+bounded sample of rated documents and is of a fixed size. The sample are the documents whose
+ids hash lowest: as many as have `most_features` features together, `most_rated` at most,
+however often an id is repeated. Scoring is one pass without a shuffle.
 
 Defined cases: a missing text is scored as an empty one. Ratings with a missing quality or
 without a document are not learned from; a missing `toxic` counts as 0. Without any usable
-rating every document is kept, with missing scores.
+rating every document is kept, with missing scores. `score` puts its columns in place of
+those the caller has under the same names; `kept` returns the caller's columns as they were.
 """
 
 from collections.abc import Iterator
@@ -24,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewtide.llm.tables import text_of
+from viewtide.llm.tables import reserved, store, text_of
 from viewtide.llm.words import BREAKS, pieces, split
 
 BUCKETS = 1 << 18
 MOST_RATED = 12_000
+MOST_FEATURES = 20_000_000
 KEEP_FROM = 0.5
+_ADDED = {"expected_grade": "double", "tail_1": "double", "tail_2": "double", "keep": "boolean"}
+_PREFIX = "_quality_"
 _LEVELS = 12
 _SHARES = 5
 _STEPS = 200
@@ -81,8 +86,10 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return row, feature
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rated: int = MOST_RATED) -> Model | None:
-    """Learn from at most `most_rated` rated documents."""
+def fit(
+    docs: DataFrame, labels: DataFrame, most_rated: int = MOST_RATED, most_features: int = MOST_FEATURES
+) -> Model | None:
+    """Learn from at most `most_rated` rated documents with `most_features` features in all."""
     graded = labels.filter("doc_id is not null and quality is not null").select(
         F.col("doc_id").alias("rated_id"),
         F.when(F.col("toxic") > 0, 0).when(F.col("quality") > 0, 2).otherwise(1).alias("grade"),
@@ -91,8 +98,13 @@ def fit(docs: DataFrame, labels: DataFrame, most_rated: int = MOST_RATED) -> Mod
     chosen = graded.orderBy(F.xxhash64("rated_id"), "rated_id", "grade").limit(most_rated)
     rated = docs.select(F.col("doc_id"), text_of("text").alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("rated_id")
-    ).select("grade", "text")
-    table = rated.mapInArrow(_example, "grade int, features binary").toArrow()
+    ).select("rated_id", "grade", "text")
+    # An id may be that of many documents, and a document may be very long.
+    examples = store(rated.mapInArrow(_example, "rated_id bigint, grade int, size int, features binary"), "examples")
+    order = [F.xxhash64("rated_id"), F.col("rated_id"), F.col("grade"), F.col("size"), F.xxhash64("features")]
+    sizes = examples.orderBy(*order).limit(most_rated).select("size").toArrow().column("size").to_numpy()
+    fetched = max(1, int(np.searchsorted(np.cumsum(sizes.astype(np.int64)), most_features, "right")))
+    table = examples.orderBy(*order).limit(fetched).select("grade", "features").toArrow()
     grades = table.column("grade").to_numpy().astype(np.int64)
     if not len(grades):
         return None
@@ -148,29 +160,46 @@ def _example(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(row, kind="stable")
             cuts = np.searchsorted(row[order], np.arange(1, part.num_rows))
             lists = [x.astype(np.int32).tobytes() for x in np.split(feature[order], cuts)]
-            yield pa.RecordBatch.from_pydict({"grade": part.column("grade"), "features": pa.array(lists, pa.binary())})
+            yield pa.RecordBatch.from_pydict({
+                "rated_id": part.column("rated_id").cast(pa.int64()), "grade": part.column("grade"),
+                "size": pa.array([len(x) // 4 for x in lists], pa.int32()), "features": pa.array(lists, pa.binary()),
+            })
 
 
 def score(docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM) -> DataFrame:
     """All columns of the documents, then expected_grade, tail_1, tail_2 and keep."""
-    ahead = docs.withColumn("__scored_text", text_of("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    added = "expected_grade double, tail_1 double, tail_2 double, keep boolean"
+    scored = _scored(docs, model, keep_from)
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in _ADDED]
+    return scored.select(*own, *[F.col(_PREFIX + c).alias(c) for c in _ADDED])
+
+
+def kept(docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The documents whose best grade is likely, with their own columns."""
+    return _scored(docs, model, keep_from).filter(_PREFIX + "keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _scored(docs: DataFrame, model: Model | None, keep_from: float) -> DataFrame:
+    """All columns of the documents, then the added ones under reserved names."""
+    reserved(docs, _PREFIX)
     if model is None:
-        return docs.selectExpr("*", "double(null) expected_grade", "double(null) tail_1", "double(null) tail_2", "true keep")
+        unknown = {n: F.lit(True) if t == "boolean" else F.lit(None).cast(t) for n, t in _ADDED.items()}
+        return docs.select("*", *[value.alias(_PREFIX + name) for name, value in unknown.items()])
+    ahead = docs.withColumn(_PREFIX + "text", text_of("text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    added = [f"{_PREFIX}{name} {kind}" for name, kind in _ADDED.items()]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            for part, data, offsets in pieces(batch, "__scored_text"):
+            for part, data, offsets in pieces(batch, _PREFIX + "text"):
                 row, feature = features(data, offsets)
                 known = shared.value
                 tails = known.tails(np.bincount(row, known.weights[feature].astype(np.float64), minlength=part.num_rows))
-                kept = part.select([n for n in part.schema.names if n != "__scored_text"])
+                own = part.select([n for n in part.schema.names if n != _PREFIX + "text"])
                 yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(tails.sum(1)), pa.array(tails[:, 0]), pa.array(tails[:, 1]),
+                    [*own.columns, pa.array(tails.sum(1)), pa.array(tails[:, 0]), pa.array(tails[:, 1]),
                      pa.array(tails[:, 1] >= keep_from)],
-                    names=[*kept.schema.names, "expected_grade", "tail_1", "tail_2", "keep"],
+                    names=[*own.schema.names, *[_PREFIX + name for name in _ADDED]],
                 )
 
-    return ahead.mapInArrow(run, f"{fields}, {added}")
+    return ahead.mapInArrow(run, ", ".join(fields + added))

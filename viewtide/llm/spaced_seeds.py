@@ -117,6 +117,14 @@ def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents without benchmark items, with their own columns."""
+    reserved(docs, "_seeds_")
+    docs = steady(docs)
+    found = store(find(docs, benchmark), "found").select(F.col("row_id").alias(_NUMBER))
+    return docs.withColumn(_NUMBER, F.monotonically_increasing_id()).join(found, _NUMBER, "left_anti").drop(_NUMBER)
+
+
 def _seed_list(hashes: np.ndarray, at: np.ndarray) -> list[dict]:
     return [{"seed": s, "at": a} for s, a in zip(hashes.view(np.int64).tolist(), at.tolist())]
 
