@@ -17,7 +17,7 @@ from viewtide.sources.scratch import scratch_dir
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose best grade is likely; poor and toxic ones go."""
     model = ordinal_quality.fit(docs, read(spark, sf_dir, "labels"))
-    return ordinal_quality.score(docs, model).filter("keep").select(docs.columns)
+    return ordinal_quality.kept(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    marked = spaced_seeds.mark(docs, read(spark, sf_dir, "benchmark"))
-    return marked.filter("n_items = 0").select(docs.columns)
+    return spaced_seeds.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
