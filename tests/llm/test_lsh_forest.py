@@ -52,6 +52,25 @@ def test_groups_of_near_copies(documents, monkeypatch, block):
     assert all((r.n_links > 0) == (sum(x.class_id == r.class_id for x in got) > 1) for r in got)
 
 
+@pytest.mark.parametrize("block, rare", [(1000, 32), (4, 32), (6, 2), (1000, 2)])
+def test_every_link_of_a_class_counts(documents, monkeypatch, block, rare):
+    """Also those between sets that other links tie together already."""
+    monkeypatch.setattr(lsh_forest, "BLOCK", block)
+    monkeypatch.setattr(lsh_forest, "_RARE", rare)
+    rows = copies_with_edits(7, groups=6) + [(1000 + k, " ".join(f"w{j}" for j in range(20 + 3 * k)), "s") for k in range(25)]
+    rows += [(2000 + k, rows[k][1], "s") for k in range(0, 80, 9)]
+    sets = {r[0]: shingle_set(r[1]) for r in rows}
+    got = {r.doc_id: r for r in lsh_forest.join(documents(rows)).collect()}
+    different = set(sets.values())
+
+    def links(d):
+        others = {sets[e] for e in sets if got[e].class_id == got[d].class_id} - {sets[d]}
+        return sum(10 * len(sets[d] & s) >= 8 * len(sets[d] | s) for s in others) + got[d].copies - 1
+
+    assert {d: got[d].n_links for d in sets} == {d: links(d) for d in sets}
+    assert sum(r.n_links for r in got.values()) > 2 * len(rows) > 2 * len(different)
+
+
 def test_crowd_is_shuffled_once(spark, documents, monkeypatch):
     """What is sent on behalf of one large group of near copies grows with its size only."""
     monkeypatch.setattr(lsh_forest, "BLOCK", 10)

@@ -17,8 +17,13 @@ then among one member of each component, which ties a group of near copies toget
 large, then every member outside the largest component with all others, in pairs of blocks.
 Links are closed to components after each round.
 
+Both ends of a link are in one component, so the links are counted when the components are
+known: in each of them every set is compared with every other, whether or not the two have
+met in a tree. Only counts leave the tasks. A component with more than `BLOCK` members is cut
+by the sizes of the sets, and then into blocks that are compared in pairs.
+
 Result per document: class_id (smallest id of its component), copies (documents with its
-very set), n_links (links that tie its class to others, each found once, plus its copies).
+very set), n_links (the other sets at the threshold in its component, plus its copies).
 
 Column names that begin with `_lsh_row` are reserved in `first_of_each`. Defined cases: a missing text is empty, and documents without words are copies of each
 other. Documents without an id take part; a class of only such has no class_id. Repeated
@@ -26,7 +31,7 @@ rows are copies. Words are in lower case (A-Z).
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -57,6 +62,16 @@ def depth_for(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """row_id, doc_id, class_id, class_row, copies, n_links; row numbers are those of `steady(docs)`."""
+    signed, classes, sets, labels = _tied(docs, threshold, recall)
+    classes = classes.join(_degrees(labels, sets, threshold), "member", "left")
+    return _classed(signed, classes, labels).select(
+        "row_id", "doc_id", "class_id", "class_row", "copies",
+        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    )
+
+
+def _tied(docs: DataFrame, threshold: float, recall: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The documents, the classes of one set each, the sets of those that meet, and their components."""
     last = depth_for(threshold, recall)
     number = F.monotonically_increasing_id()
     texts = steady(docs).select(number.alias("row_id"), F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
@@ -65,18 +80,17 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         "row_id bigint, doc_id bigint, content binary, paths array<array<bigint>>",
     ), "signed")
     # Copies: the row with the smallest id stands for all.
-    order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "row_id")
     classes = store(
         signed.groupBy("content").agg(
-            F.min_by("row_id", order).alias("member"), F.count("*").alias("copies"),
-            F.min_by("paths", order).alias("paths"),
+            F.min_by("row_id", _order()).alias("member"), F.count("*").alias("copies"),
+            F.min_by("paths", _order()).alias("paths"),
         ), "classes",
     )
     forest = _forest(classes)
     wanted = store(forest.select("member").distinct(), "wanted")
     sets = store(
         texts.select("row_id", "text").join(wanted, F.col("row_id") == F.col("member"))
-        .select("member", "text").mapInArrow(_sets, "member bigint, shingles binary"), "sets",
+        .select("member", "text").mapInArrow(_sets, "member bigint, size bigint, shingles binary"), "sets",
     )
     links = store(wanted.select(F.col("member").alias("a"), F.col("member").alias("b")).limit(0), "links")
     labels = wanted.select("member", F.col("member").alias("label"))
@@ -91,21 +105,28 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
             if not found.isEmpty():
                 links = store(links.union(found).distinct(), "links")
                 labels = components(wanted, links)
-    degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("n")).withColumnRenamed("a", "member")
-    summed = classes.select("content", "member", "copies").join(labels, "member", "left").join(degree, "member", "left").withColumn("label", F.coalesce("label", "member"))
+    return signed, classes, sets, labels
+
+
+def _order() -> Column:
+    """The row with the smallest id first, rows without one last."""
+    return F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "row_id")
+
+
+def _classed(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents with what their class has, class_id and class_row."""
+    summed = classes.drop("paths").join(labels, "member", "left").withColumn("label", F.coalesce("label", "member"))
     rows = signed.select("row_id", "doc_id", "content").join(summed, "content")
-    firsts = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.min_by("row_id", order).alias("class_row"))
-    return rows.join(firsts, "label").select(
-        "row_id", "doc_id", "class_id", "class_row", "copies",
-        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-    )
+    firsts = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.min_by("row_id", _order()).alias("class_row"))
+    return rows.join(firsts, "label")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest id."""
     reserved(docs, _NUMBER)
     docs = steady(docs)
-    kept = store(join(docs).filter("row_id = class_row").select(F.col("row_id").alias(_NUMBER)), "kept")
+    signed, classes, _, labels = _tied(docs, THRESHOLD, RECALL)
+    kept = store(_classed(signed, classes, labels).filter("row_id = class_row").select(F.col("row_id").alias(_NUMBER)), "kept")
     return docs.withColumn(_NUMBER, F.monotonically_increasing_id()).join(kept, _NUMBER, "left_semi").select(docs.columns)
 
 
@@ -149,7 +170,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in pieces(batch, "text"):
             values, cuts = shingles(split(data, offsets), SHINGLE)
             lists = [values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_pydict({"member": part.column("member"), "shingles": pa.array(lists, pa.binary())})
+            yield pa.RecordBatch.from_pydict({
+                "member": part.column("member"), "size": pa.array(np.diff(cuts), pa.int64()), "shingles": pa.array(lists, pa.binary()),
+            })
 
 
 def _forest(classes: DataFrame) -> DataFrame:
@@ -213,13 +236,16 @@ def _across(rows: DataFrame) -> DataFrame:
 
 def _links(groups: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Verified links (a < b) between components that meet in a group."""
-    return groups.select(*_GROUP, "member", "label").join(sets, "member").groupBy(*_GROUP).applyInPandas(
+    return groups.select(*_GROUP, "member", "label").join(sets.drop("size"), "member").groupBy(*_GROUP).applyInPandas(
         lambda members: _verify(members, threshold), "a bigint, b bigint"
     ).distinct()
 
 
 def _verify(members: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links that tie the components of a group together, each member reached once."""
+    """Links that tie the components of a group together, each member reached once.
+
+    Not all of the group's links: those are counted in `_degrees`.
+    """
     members = members.sort_values("member")
     ids, labels = members["member"].to_numpy(), members["label"].to_numpy()
     lists = [np.frombuffer(x, np.uint64) for x in members["shingles"]]
@@ -253,6 +279,111 @@ def _verify(members: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame([(min(p), max(p)) for p in links], columns=["a", "b"], dtype="int64")
 
 
+def _degrees(labels: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """member and n, the links of its set: of all pairs of its component, each compared once."""
+    sizes = labels.groupBy("label").agg(F.count("*").alias("n_label")).filter("n_label > 1")
+    tied = store(labels.join(sizes, "label").join(sets.select("member", "size"), "member"), "tied")
+    bundles = math.ceil(tied.count() / BLOCK) or 1
+    small = tied.filter(F.col("n_label") <= BLOCK).select(
+        F.pmod(F.xxhash64("label"), F.lit(bundles)).alias("crowd"), *[F.lit(k).alias(c) for c, k in zip(_CELL[1:], (-1, -1, 0, 0))],
+        F.lit(False).alias("second"), "label", "member",
+    )
+    cells = small.unionByName(_cells(tied.filter(F.col("n_label") > BLOCK), threshold))
+    return cells.join(sets.select("member", "shingles"), "member").groupBy(*_CELL).applyInPandas(
+        lambda members: _count(members, threshold), "member bigint, n bigint"
+    ).groupBy("member").agg(F.sum("n").alias("n"))
+
+
+_CELL = ("crowd", "low", "high", "block_a", "block_b")
+
+
+def _cells(tied: DataFrame, threshold: float) -> DataFrame:
+    """Large components in cells of two blocks, for every pair that can be linked.
+
+    The smaller of two linked sets has at least the threshold's share of the larger one, so
+    with levels a little wider than that they are on one level or on two that adjoin.
+    """
+    level = F.floor(F.log("size") / -math.log(0.999 * threshold)).cast("int")
+    leveled = tied.select("label", "member", level.alias("level"))
+    blocks = leveled.groupBy("label", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    below = blocks.select("label", (F.col("level") + 1).alias("level"), F.col("blocks").alias("below"))
+    above = blocks.select("label", (F.col("level") - 1).alias("level"), F.col("blocks").alias("above"))
+    placed = leveled.join(blocks, ["label", "level"]).join(below, ["label", "level"], "left").join(above, ["label", "level"], "left")
+    own = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
+
+    def partners(count: str, cell: Callable[[Column], Column]) -> Column:
+        n = F.coalesce(count, F.lit(0))
+        return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), cell)
+
+    def cell(low: Column, high: Column, a: Column, b: Column, second: Column) -> Column:
+        return F.struct(low.alias("low"), high.alias("high"), a.alias("block_a"), b.alias("block_b"), second.alias("second"))
+
+    here = F.col("level")
+    met = F.concat(
+        partners("blocks", lambda k: cell(here, here, F.least("own", k), F.greatest("own", k), F.col("own") > k)),
+        partners("above", lambda k: cell(here, here + 1, F.col("own"), k, F.lit(False))),
+        partners("below", lambda k: cell(here - 1, here, k, F.col("own"), F.lit(True))),
+    )
+    return placed.withColumn("own", own).select("label", "member", F.explode(met).alias("cell")).select(
+        F.col("label").alias("crowd"), "cell.*", "label", "member"
+    )
+
+
+def _count(members: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links of each member: within a block, or where there are two, between them."""
+    low, high, a, b = (members[c].iloc[0] for c in _CELL[1:])
+    members = members.sort_values(["label", "member"])
+    ids, second = members["member"].to_numpy(), members["second"].to_numpy()
+    lists = [np.frombuffer(x, np.uint64) for x in members["shingles"]]
+    sizes = np.array([len(x) for x in lists])
+    labels = members["label"].to_numpy()
+    borders = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1), len(ids)]
+    n = np.zeros(len(ids), np.int64)
+    for start, end in zip(borders, borders[1:]):
+        common = _common(lists[start:end])
+        size, side = sizes[start:end], second[start:end]
+        union = size[:, None] + size[None, :] - common
+        near = (common >= math.nextafter(threshold, 0) * union) & (union > 0)
+        near &= np.tri(end - start, k=-1, dtype=bool).T
+        if (low, a) != (high, b):
+            near &= side[:, None] != side[None, :]
+        n[start:end] = near.sum(axis=0) + near.sum(axis=1)
+    return pd.DataFrame({"member": ids, "n": n})[n > 0]
+
+
+_RARE, _WIDE = 32, 2048
+
+
+def _common(lists: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set shares with each later one.
+
+    Rare shingles are counted by their pairs of sets, the others as a product of matrices.
+    """
+    count = len(lists)
+    found, codes = np.unique(np.concatenate(lists), return_inverse=True)
+    rows = np.repeat(np.arange(count), [len(x) for x in lists])
+    order = np.argsort(codes, kind="stable")
+    codes, rows = codes[order], rows[order]
+    times = np.bincount(codes, minlength=len(found))
+    common = np.zeros((count, count), np.int64)
+    rare = times[codes] <= _RARE
+    few, at = codes[rare], rows[rare]
+    for apart in range(1, min(_RARE, count)):
+        same = few[apart:] == few[:-apart]
+        if not same.any():
+            break
+        np.add.at(common, (at[:-apart][same], at[apart:][same]), 1)
+    many = np.flatnonzero(times > _RARE)
+    for start in range(0, len(many), _WIDE):
+        chosen = many[start : start + _WIDE]
+        first, last = np.searchsorted(codes, [chosen[0], chosen[-1] + 1])
+        held = np.zeros((count, len(chosen)), np.float32)
+        inside = times[codes[first:last]] > _RARE
+        held[rows[first:last][inside], np.searchsorted(chosen, codes[first:last][inside])] = 1
+        common += (held @ held.T).astype(np.int64)
+    return common
+
+
 def components(members: DataFrame, links: DataFrame) -> DataFrame:
     """member and label, the smallest member that its links lead to.
 
