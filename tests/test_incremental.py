@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
+from viewtide.catalog import increments
 from viewtide.operators import transform
 from viewtide.operators.constraints import ConstraintViolation
 from viewtide.plans import incremental
@@ -206,3 +207,29 @@ def test_a_large_day_is_cut_into_several_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
     files = [f for f in file_times(str(tmp_path), "t")]
     assert sum("=2024-01-01" in f for f in files) > 2 and read_stage(spark, str(tmp_path), "t").count() == 300_000
+
+
+def test_running_totals_are_taken_once(spark, tmp_path):
+    """The parts of the history are readings of one written table."""
+    events = [(k, BEGIN + timedelta(hours=5 * k), k % 7, ("view", "click", "error")[k % 3], 10.0 * k, None) for k in range(150)]
+    spark.createDataFrame(
+        events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(k, k % 3, "A") for k in range(7)], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(
+        f"{tmp_path}/customer.parquet"
+    )
+    parts = [history for _, history in increments(spark, str(tmp_path))]
+    for part in parts:
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Aggregate" not in plan
+    assert all(part.count() for part in parts)
+
+
+def test_differing_days(spark):
+    """Rows that moved, changed, went or swapped a NULL with their neighbour; order alone is no difference."""
+    one = [(1, 7, None, 1), (2, 8, 9, 1), (3, None, 5, 2), (4, 1, 1, 3), (5, 1, 1, 4), (6, 2, 2, 5), (7, 3, 3, 6)]
+    other = [(2, 8, 9, 1), (1, 7, None, 1), (3, 5, None, 2), (5, 1, 1, 3), (4, 1, 1, 4), (7, 3, 3, 6), (8, 3, 3, 7)]
+    table = lambda rows: spark.createDataFrame(rows, "gid long, views long, likes long, day int")
+    found = incremental._differing(table(one), table(other), "day").select("day")
+    assert sorted(r.day for r in found.collect()) == [2, 3, 4, 5, 7]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1

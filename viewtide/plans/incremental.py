@@ -24,6 +24,8 @@ place. A merge that breaks off in between is ended by the next call, or by `fini
 merging the same increment again changes nothing.
 """
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -58,19 +60,23 @@ _META = ("gid", *ATTRIBUTES)
 
 def start(spark: SparkSession, out: str, meta: DataFrame, history: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> None:
     """Write all tables from a first load, replacing what is there."""
-    _write_all(spark, out, "observations", history.select(*HISTORY_COLUMNS, day_of("updated_at").alias(DAY)))
-    _write_all(spark, out, "meta", _parted(meta.select(*_META)))
+    _together(
+        lambda: _write_all(spark, out, "observations", history.select(*HISTORY_COLUMNS, day_of("updated_at").alias(DAY))),
+        lambda: _write_all(spark, out, "meta", _parted(meta.select(*_META))),
+    )
     history, meta = _observations(spark, out), _table(spark, out, "meta").drop(PART)
-    assert_clean(history, "history")
-    assert_clean(meta, "meta")
+    _together(lambda: assert_clean(history, "history"), lambda: assert_clean(meta, "meta"))
     splits = find_splits(history, rows_per_chunk=rows_per_chunk)
     _write_all(spark, out, "denorm", denorm(meta, history, splits, steps=True).drop(CHUNK))
     kept = _table(spark, out, "denorm")
-    _write_all(spark, out, "daily", daily_from_steps(kept))
-    _write_all(spark, out, "videos", _parted(_ends(history, kept)))
-    videos = _table(spark, out, "videos")
-    _write_all(spark, out, "latest", _latest(videos, _table(spark, out, "meta")))
-    _write_all(spark, out, "opening", videos.limit(0))
+
+    def last_rows() -> None:
+        _write_all(spark, out, "videos", _parted(_ends(history, kept)))
+        videos = _table(spark, out, "videos")
+        _write_all(spark, out, "latest", _latest(videos, _table(spark, out, "meta")))
+        _write_all(spark, out, "opening", videos.limit(0))
+
+    _together(lambda: _write_all(spark, out, "daily", daily_from_steps(kept)), last_rows)
     write_stage(spark.createDataFrame([], "state string"), stage_path(out, "markers"), RETENTION)
     mark(spark, out, MERGE, MERGED)
 
@@ -93,9 +99,10 @@ def merge(
         return read_stage(spark, staged, name)
 
     new = keep(_within_retention(spark, out, history.select(*HISTORY_COLUMNS)), "new")
-    assert_clean(new, "history")
     known = _table(spark, out, "meta")
-    changed = keep(_changed_videos(known, meta), "changed_videos")
+    _, changed = _together(
+        lambda: assert_clean(new, "history"), lambda: keep(_changed_videos(known, meta), "changed_videos")
+    )
     if meta is not None:
         assert_clean(changed, "meta")
     beginning = F.lit("1000-01-01").cast(new.schema["updated_at"].dataType)
@@ -125,28 +132,35 @@ def merge(
     days = recomputed
     if first_late is not None:
         old = _since(_table(spark, out, "denorm").filter(F.col(DAY) >= F.lit(first_late)), late).select(*_STEPPED)
-        signed = recomputed.withColumn("n", F.lit(1)).union(old.withColumn("n", F.lit(-1)))
-        days = signed.groupBy(*_STEPPED).agg(F.sum("n").alias("n")).filter("n <> 0")
-    days = _values(days, DAY)
-    new_days = _values(new.select(day_of("updated_at").alias(DAY)), DAY)
-    parts = _values(_parted(touched), PART)
-    meta_parts = _values(_parted(changed), PART)
+        days = _differing(recomputed, old, DAY)
+    days, new_days, parts, meta_parts = _together(
+        lambda: _values(days, DAY), lambda: _values(new.select(day_of("updated_at").alias(DAY)), DAY),
+        lambda: _values(_parted(touched), PART), lambda: _values(_parted(changed), PART),
+    )
 
     stored = _table(spark, out, "denorm").filter(F.col(DAY).isin(days)).select(*_STEPPED)
     again = recomputed.filter(F.col(DAY).isin(days))
-    whole_days = keep(_not_since(stored, late).union(again.select(*_STEPPED)), "denorm")
-    keep(daily_from_steps(whole_days), "daily")
     seen = _table(spark, out, "observations").filter(F.col(DAY).isin(new_days))
-    keep(
-        seen.join(new, ["gid", "updated_at"], "left_anti").select(*HISTORY_COLUMNS, DAY)
-        .union(new.withColumn(DAY, day_of("updated_at"))), "observations",
-    )
-    observed = rows.filter(~F.col(_CARRIED))
-    ends = _joined_ends(carry, _ends(observed, recomputed))
+    ends = _joined_ends(carry, _ends(rows.filter(~F.col(_CARRIED)), recomputed))
     others = videos.filter(F.col(PART).isin(parts)).join(touched, "gid", "left_anti")
-    all_ends = keep(_parted(ends.filter(F.col("obs").isNotNull())).unionByName(others), "videos")
-    keep(_parted(merged_meta).filter(F.col(PART).isin(meta_parts)), "meta")
-    keep(_latest(all_ends, _parted(merged_meta).filter(F.col(PART).isin(parts))), "latest")
+
+    def whole_days() -> None:
+        keep(daily_from_steps(keep(_not_since(stored, late).union(again.select(*_STEPPED)), "denorm")), "daily")
+
+    def observed_days() -> None:
+        keep(
+            seen.join(new, ["gid", "updated_at"], "left_anti").select(*HISTORY_COLUMNS, DAY)
+            .union(new.withColumn(DAY, day_of("updated_at"))), "observations",
+        )
+
+    def last_rows() -> None:
+        all_ends = keep(_parted(ends.filter(F.col("obs").isNotNull())).unionByName(others), "videos")
+        keep(_latest(all_ends, _parted(merged_meta).filter(F.col(PART).isin(parts))), "latest")
+
+    _together(
+        whole_days, observed_days, last_rows,
+        lambda: keep(_parted(merged_meta).filter(F.col(PART).isin(meta_parts)), "meta"),
+    )
 
     wanted = {"observations": new_days, "denorm": days, "daily": days, "meta": meta_parts, "latest": parts, "videos": parts}
     lists = []
@@ -214,6 +228,27 @@ def _values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
+def _together(*steps: Callable[[], object]) -> list:
+    """Run steps that do not need each other at the same time, so that one fills the other's gaps."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
+def _differing(one: DataFrame, other: DataFrame, by: str) -> DataFrame:
+    """The values of `by` under which the two tables, each without repeated rows, do not hold the same.
+
+    A few numbers per value are compared, and no rows are brought together: counts, and two
+    hashes of all columns, 128 bits. NULLs are hashed by their places, as a hash passes over them.
+    """
+    columns = [*one.columns, *[F.col(c).isNull() for c in one.columns]]
+    signed = one.withColumn("n", F.lit(1)).union(other.withColumn("n", F.lit(-1)))
+    return signed.select(
+        by, "n", F.xxhash64(*columns).alias("hash"), F.xxhash64(F.lit(by), *columns).alias("other"),
+    ).groupBy(by).agg(F.sum("n").alias("n"), F.bit_xor("hash").alias("hash"), F.bit_xor("other").alias("other")).filter(
+        "n <> 0 or hash <> 0 or other <> 0"
+    )
+
+
 def _row() -> Column:
     """An observation as one value; the time comes first and decides which is the last."""
     return F.struct("updated_at", *FACTS)
@@ -221,11 +256,18 @@ def _row() -> Column:
 
 def _ends(observations: DataFrame, kept: DataFrame) -> DataFrame:
     """Per video: last observation, last kept one, first kept day."""
-    seen = observations.groupBy("gid").agg(F.max(_row()).alias("obs"))
-    grew = kept.groupBy("gid").agg(F.max(_row()).alias("kept"), F.min(DAY).alias("first_day"))
+    seen = _last(observations, "obs")
+    grew = _last(kept, "kept", F.min(DAY).alias("first_day"))
     return seen.join(grew, "gid", "left")
 
 
+def _last(rows: DataFrame, name: str, *more: Column) -> DataFrame:
+    """Per video its last row as one value, aggregated in columns of fixed width, which can be hashed."""
+    last = [F.max_by(c, "updated_at").alias(c) for c in FACTS]
+    ends = rows.groupBy("gid").agg(F.max("updated_at").alias("updated_at"), *last, *more)
+    return ends.select("gid", _row().alias(name), *[c for c in ends.columns if c not in ("gid", "updated_at", *FACTS)])
+
+
 def _joined_ends(earlier: DataFrame, later: DataFrame) -> DataFrame:
     return earlier.select("gid", "obs", "kept", "first_day").unionByName(later).groupBy("gid").agg(
         F.max("obs").alias("obs"), F.max("kept").alias("kept"), F.min("first_day").alias("first_day")
